@@ -22,13 +22,13 @@ MAX_WORD = 255
 
 _START = rf"[\p{{L}}\p{{Nl}}\p{{Nd}}&&[^{IDEOGRAPH}]]"
 _REST = rf"[\p{{L}}\p{{Nl}}{DIGIT}{CONNECTOR}{EXTENDER}&&[^{IDEOGRAPH}]]"
-_JOINT = (rf"(?:(?<=[\p{{L}}\p{{M}}]){INSIDE_WORD}(?={LETTER})"
+# Plain letters are tried first, as the full classes are slow to test.
+_RUN = rf"[a-z0-9_]*+{_REST}*+"
+_JOINT = (rf"(?=\S)(?:(?<=[\p{{L}}\p{{M}}]){INSIDE_WORD}(?={LETTER})"
           rf"|(?<={DIGIT}){INSIDE_NUMBER}(?={DIGIT}))")
 # Possessive repeats: nothing to backtrack into, and no stack growth on very long words.
-WORD = (rf"{CONNECTOR}*+{_START}{_REST}*+(?:{_JOINT}{_REST}++)*+"
+WORD = (rf"(?:[a-z0-9]++|{_START}|{CONNECTOR}++{_START}){_RUN}(?:{_JOINT}{_RUN})*+"
         rf"|[{IDEOGRAPH}][{EXTENDER}]*+")
-# A text without such a run cannot hold a word above MAX_WORD.
-_LONG_RUN = rf"(?<!\S)\S{{{MAX_WORD + 1}}}"
 _PIECE = rf"(?s).{{1,{MAX_WORD}}}"
 
 
@@ -36,20 +36,16 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def _cut(words: Column) -> Column:
-    def pieces(word: Column) -> Column:
-        return F.flatten(F.transform(
-            F.regexp_extract_all(word, F.lit(_PIECE), F.lit(0)), _words))
-
-    return F.flatten(F.transform(
-        words, lambda w: F.when(F.length(w) <= MAX_WORD, F.array(w)).otherwise(pieces(w))))
+def _pieces(word: Column) -> Column:
+    return F.flatten(F.transform(F.regexp_extract_all(word, F.lit(_PIECE), F.lit(0)), _words))
 
 
 def tokens(text: Column | str) -> Column:
     """Lower-cased words of ``text`` in order; no stop words, no stemming."""
     lowered = F.lower(F.col(text) if isinstance(text, str) else text)
-    words = _words(lowered)
-    return F.when(lowered.rlike(_LONG_RUN), _cut(words)).otherwise(words)
+    return F.flatten(F.transform(
+        _words(lowered),
+        lambda w: F.when(F.length(w) <= MAX_WORD, F.array(w)).otherwise(_pieces(w))))
 
 
 def has_token(text: Column | str) -> Column:

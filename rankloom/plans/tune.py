@@ -55,9 +55,10 @@ def sweep(index: Index, queries: DataFrame, qrels: DataFrame, kind: str, cut: in
 
 def best_param(swept: DataFrame) -> DataFrame:
     """The parameter with the highest mean, the first of equals; no row if no mean is positive."""
-    means = mean_value(swept, ["param"])
-    good = means.filter((F.col("mean") > 0) & ~F.isnan("mean"))
-    return good.orderBy(F.desc("mean"), "param").limit(1)
+    means = mean_value(swept, ["param"]).filter(~F.isnan("mean") & (F.col("mean") > 0))
+    # equal values may be summed in another order: compare without the last bits
+    return (means.withColumn("mean", places(F.col("mean"), 9))
+            .orderBy(F.desc("mean"), "param").limit(1))
 
 
 def sweep_table(swept: DataFrame, kind: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The line that ends a record.
@@ -20,21 +20,17 @@ def _records(spark: SparkSession, path: str, end: str) -> DataFrame:
     # closing lines that belong to no record stick to the next or to the last one
     text = F.regexp_replace(F.col("value"), rf"\A(?:{end}\n)+", "")
     text = F.regexp_replace(text, rf"(?:\A|\n){end}\n?\z", "")
-    split = raw.select(F.regexp_extract(text, r"(?s)\A(-?\d+)(?:\n(.*))?\z", 1).alias("number"),
-                       F.regexp_extract(text, r"(?s)\A(-?\d+)(?:\n(.*))?\z", 2).alias("body"))
-    return split.filter(F.col("number") != "")
-
-
-def _without_last_newline(body: Column) -> Column:
-    return F.regexp_replace(body, r"\n\z", "")
+    lines = F.split(text, "\n", 2)
+    split = raw.select(lines[0].alias("number"), F.get(lines, F.lit(1)).alias("body"))
+    return split.filter(F.col("number").rlike(r"\A-?\d+\z"))
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, contents)``; every text line keeps its line feed."""
-    body = _without_last_newline(F.col("body"))
     return _records(spark, path, DOCUMENT_END).select(
         F.col("number").cast("bigint").alias("doc_id"),
-        F.when(body == "", "").otherwise(F.concat(body, F.lit("\n"))).alias("contents"))
+        F.when(F.col("body").isNull(), "")
+        .otherwise(F.concat("body", F.lit("\n"))).alias("contents"))
 
 
 def read_queries(spark: SparkSession, path: str) -> DataFrame:
@@ -46,6 +42,6 @@ def read_queries(spark: SparkSession, path: str) -> DataFrame:
 
 def read_qrels(spark: SparkSession, path: str) -> DataFrame:
     """S3: ``(query_id, doc_id)``, one row per judgement."""
-    ids = F.explode(F.regexp_extract_all("body", F.lit(r"-?\d+"), F.lit(0)))
+    ids = F.regexp_extract_all("body", F.lit(r"-?\d+"), F.lit(0)).cast("array<bigint>")
     return _records(spark, path, JUDGEMENT_END).select(
-        F.col("number").cast("int").alias("query_id"), ids.cast("bigint").alias("doc_id"))
+        F.col("number").cast("int").alias("query_id"), F.explode(ids).alias("doc_id"))
