@@ -64,7 +64,8 @@ def student_two_sided(t: Column, freedom: Column) -> Column:
               .otherwise(sin * series))
     z = (8.0 * nu + 1.0) / (8.0 * nu + 3.0) * F.sqrt(nu * F.log1p(t * t / nu))
     exact = F.greatest(F.lit(0.0), 1.0 - inside)
-    # an endless t leaves nothing outside
-    return (F.when(F.abs(t) == float("inf"), F.lit(0.0))
+    # no t, no p; an endless t leaves nothing outside
+    return (F.when(t.isNull(), F.lit(None).cast("double"))
+            .when(F.abs(t) == float("inf"), F.lit(0.0))
             .when(freedom > SERIES_FREEDOM, 2.0 * normal_below(-z))
             .otherwise(exact))

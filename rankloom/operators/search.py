@@ -49,7 +49,7 @@ def match(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_id",))
     if small:
         return postings.join(F.broadcast(weighted), "term")
     pieces = F.explode(F.sequence(F.lit(0), F.lit(TERM_PIECES - 1)))
-    piece = F.pmod(F.xxhash64("batch_id", "doc_key"), F.lit(TERM_PIECES)).cast("int")
+    piece = F.pmod(F.xxhash64("doc_key"), F.lit(TERM_PIECES)).cast("int")
     return (postings.withColumn("piece", piece)
             .join(weighted.withColumn("piece", pieces), ["term", "piece"]).drop("piece"))
 
@@ -91,12 +91,12 @@ def stored_documents(index: Index, ranking: DataFrame) -> DataFrame:
     in the scan's filter, which then reads only their pages; else the ranking is
     moved to where the documents lie, and their texts stay in place.
     """
-    docs = index.docs.select("batch_id", "doc_key", "contents")
+    docs = index.docs.select("doc_key", "contents")
     found = ranking.select("doc_key").distinct().limit(PUSHED_DOCS + 1).collect()
     if len(found) <= PUSHED_DOCS:
         named = docs.filter(cluster.any_of("doc_key", [r.doc_key for r in found]))
-        return ranking.join(named, ["batch_id", "doc_key"])
-    return docs.join(ranking.hint("shuffle_hash"), ["batch_id", "doc_key"])
+        return ranking.join(named, "doc_key")
+    return docs.join(ranking.hint("shuffle_hash"), "doc_key")
 
 
 def flag_relevant(ranking: DataFrame, qrels: DataFrame) -> DataFrame:

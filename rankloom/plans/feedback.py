@@ -79,6 +79,6 @@ def with_contents(index: Index, rounds: DataFrame) -> DataFrame:
     """Adds the text of every round's first relevant document."""
     rounds = cluster.materialise(rounds)
     shown = rounds.filter(F.col("first_doc_key").isNotNull()).select(
-        *KEYS, F.col("first_batch_id").alias("batch_id"), F.col("first_doc_key").alias("doc_key"))
+        *KEYS, F.col("first_doc_key").alias("doc_key"))
     texts = stored_documents(index, shown).select(*KEYS, F.col("contents").alias("first_contents"))
     return rounds.join(texts, list(KEYS), "left")

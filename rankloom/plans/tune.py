@@ -22,6 +22,8 @@ SWEEPS = {
     "dir": [0.0, 500.0, 1000.0, 1500.0, 2000.0, 2500.0, 3000.0, 3500.0, 4000.0, 4500.0, 5000.0],
 }
 LABELS = {"jm": "lambda", "dir": "mu"}
+# The more varied key first: sorting compares it first.
+KEYS = ("query_id", "param")
 
 
 def _params(kind: str) -> list[float]:
@@ -38,9 +40,9 @@ def sweep_rankings(index: Index, queries: DataFrame, kind: str, k: int) -> DataF
     """
     params = _params(kind)
     scored = scores(index, queries, [Model(kind, p) for p in params])
-    rows = F.array(*(F.struct(F.lit(p).alias("param"), places(F.col(f"s{i}")).alias("score"))
-                     for i, p in enumerate(params)))
-    return top_k(scored.select("query_id", *DOC, F.inline(rows)), k, ("param", "query_id"))
+    cells = [c for i, p in enumerate(params) for c in (F.lit(p), places(F.col(f"s{i}")))]
+    rows = F.stack(F.lit(len(params)), *cells).alias("param", "score")
+    return top_k(scored.select("query_id", *DOC, rows), k, KEYS)
 
 
 def sweep(index: Index, queries: DataFrame, qrels: DataFrame, kind: str, cut: int,
@@ -49,7 +51,7 @@ def sweep(index: Index, queries: DataFrame, qrels: DataFrame, kind: str, cut: in
     column = metric_column(metric)
     asked = queries.select("query_id", F.explode(F.array(*map(F.lit, _params(kind)))).alias("param"))
     flagged = flag_relevant(sweep_rankings(index, queries, kind, cut), qrels)
-    table = metrics(asked, flagged, relevant_counts(qrels), ("param", "query_id"), "include")
+    table = metrics(asked, flagged, relevant_counts(qrels), KEYS, "include")
     return table.select("param", "query_id", F.col(column).alias("value"))
 
 

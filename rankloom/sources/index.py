@@ -92,12 +92,14 @@ def write_index(docs: DataFrame, path: str, mode: str = "create",
             f"{path}/collection_stats")
     docs_table, postings_table = _tables(spark, path, buckets)
     # also steps over a batch that an earlier call wrote but never committed
-    latest = spark.table(docs_table).agg(F.max("batch_id")).first()[0] if adding else None
+    latest, last_key = (spark.table(docs_table).agg(F.max("batch_id"), F.max("doc_key")).first()
+                        if adding else (None, None))
     batch = 0 if latest is None else latest + 1
+    first_key = 0 if last_key is None else last_key + 1
 
     # The one shuffle: texts by a key that no two documents share, hence no skew.
     keyed = docs.select(F.lit(batch).alias("batch_id"),
-                        F.monotonically_increasing_id().alias("doc_key"),
+                        (F.monotonically_increasing_id() + first_key).alias("doc_key"),
                         F.col("doc_id").cast("bigint").alias("doc_id"), "contents")
     (keyed.repartition(buckets, "doc_key").write
      .insertInto(docs_table, overwrite=not adding))

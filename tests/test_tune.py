@@ -1,0 +1,69 @@
+import math
+
+import pytest
+
+from rankloom import Model, best_param, evaluate, sweep, sweep_table, test_report as report, train_test
+from workload import queries as workload
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_sweep_column_equals_single_evaluation(spark):
+    index, queries = workload.index(spark, SF), workload.benchmark(spark, SF)
+    qrels = workload.labelled(spark, SF)
+    for kind, param in (("jm", 0.3), ("dir", 1500.0)):
+        swept = sweep(index, queries, qrels, kind, 10, "P").filter(f"param = {param}")
+        single = evaluate(index, queries, qrels, Model(kind, param), 10, "P", "include")
+        key = lambda df: {r.query_id: round(r.value, 9) for r in df.collect()}
+        assert key(swept) == key(single)
+
+
+def test_best_param(spark):
+    table = lambda rows: spark.createDataFrame(rows, "param double, query_id int, value double")
+    first_of_equals = [(0.1, 1, 0.2), (0.1, 2, 0.4), (0.2, 1, 0.4), (0.2, 2, 0.2), (0.3, 1, 0.1), (0.3, 2, 0.1)]
+    assert best_param(table(first_of_equals)).first().param == 0.1
+    nan = float("nan")
+    assert best_param(table([(0.1, 1, nan), (0.2, 1, 0.5), (0.3, 1, 0.0)])).first().param == 0.2
+    assert best_param(table([(0.1, 1, nan), (0.2, 1, 0.0)])).count() == 0
+
+
+def test_train_test_and_tables(micro):
+    index, queries, qrels = micro
+    outcome = train_test(index, queries, qrels, "dir", 3, "MAP", "1-2", "1-2")
+    assert outcome.best == 500.0
+    cells = {(r.query, c): r[c] for r in sweep_table(outcome.swept, "dir").collect()
+             for c in ("mu_0", "mu_500", "mu_5000")}
+    assert cells["1", "mu_0"] == pytest.approx(5 / 6) and cells["1", "mu_500"] == pytest.approx(1)
+    assert cells["mean", "mu_0"] == pytest.approx((5 / 6 + 0.5) / 2)
+    lines = {r["query"]: r.value for r in report(outcome).collect()}
+    assert set(lines) == {"1", "2", "mean"}
+    assert lines["mean"] == pytest.approx((lines["1"] + lines["2"]) / 2)
+
+
+def test_no_positive_mean_is_an_error(micro):
+    index, queries, qrels = micro
+    with pytest.raises(ValueError):
+        train_test(index, queries, qrels.filter("query_id = 99"), "jm", 3, "MAP", "1-2", "1-2")
+    with pytest.raises(ValueError):
+        sweep(index, queries, qrels, "tfidf", 3, "P")
+    with pytest.raises(ValueError):
+        sweep(index, queries, qrels, "jm", 3, "NDCG")
+
+
+def test_empty_policies(micro):
+    index, queries, qrels = micro
+    model = Model("jm", 0.5)
+    include = {r.query_id: r.value for r in evaluate(index, queries, qrels, model, 3, "MAP", "include").collect()}
+    assert math.isnan(include[3]) and set(include) == {1, 2, 3}
+    with pytest.raises(Exception, match="no relevant document"):
+        evaluate(index, queries, qrels, model, 3, "MAP", "error").collect()
+    with pytest.raises(ValueError):
+        evaluate(index, queries, qrels, model, 3, "MAP", "drop")
+
+
+def test_mean_of_nothing_is_an_error(micro):
+    from rankloom import mean_value
+    index, queries, qrels = micro
+    values = evaluate(index, queries, qrels.filter("query_id = 99"), Model("tfidf"), 3, "P")
+    with pytest.raises(Exception, match="no query to average"):
+        mean_value(values).collect()

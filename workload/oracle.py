@@ -212,7 +212,7 @@ inside AS (SELECT *, CASE
         range(0, nu // 2), lambda k: pow(cos(theta), 2 * k) / sqrt(pi())
             * exp(lgamma(k + 0.5e0) - lgamma(k + 1)))) END AS inner_part FROM th),
 t_out AS (SELECT pair_id, n, t AS statistic,
-                 CASE WHEN isinf(t) THEN 0e0 ELSE greatest(0e0, 1 - inner_part) END AS p FROM inside)
+                 CASE WHEN t IS NULL THEN NULL WHEN isinf(t) THEN 0e0 ELSE greatest(0e0, 1 - inner_part) END AS p FROM inside)
 """
 # Wilcoxon: mean ranks by window functions, the normal distribution by its power series.
 WILCOXON_CTES = """

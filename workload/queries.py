@@ -73,9 +73,9 @@ def verbatim_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
     rarest = (inner.join(stats, inner["text"] == stats["term"], "left")
               .groupBy("query_id")
               .agg(F.min_by("text", F.struct(F.coalesce("df", F.lit(0)), "text")).alias("text")))
-    places_to_look = search_ops.match(ix, rarest).select("query_id", "batch_id", "doc_key", "doc_id")
-    texts = ix.docs.select("batch_id", "doc_key", "contents")
-    held = texts.join(places_to_look.hint("shuffle_hash"), ["batch_id", "doc_key"])
+    candidates = search_ops.match(ix, rarest).select("query_id", "doc_key", "doc_id")
+    # both sides are spread by document already; the texts are only streamed past
+    held = ix.docs.select("doc_key", "contents").join(candidates.hint("shuffle_hash"), "doc_key")
     return (held.join(queries, "query_id").filter(F.contains("contents", "text"))
             .select("query_id", "doc_id"))
 
