@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,13 +23,30 @@ PUSHED_DOCS = 1000
 TERM_PIECES = 32
 
 
-def match(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_id",)) -> DataFrame:
-    """Every posting of every query term, with the term's statistics.
+@dataclass(frozen=True)
+class QuerySide:
+    """The terms of a query set with their statistics, and how to join them to postings."""
+
+    weighted: DataFrame
+    postings: DataFrame
+    rows: int
+    small: bool
+
+    def match(self) -> DataFrame:
+        if self.small:
+            return self.postings.join(F.broadcast(self.weighted), "term")
+        pieces = F.explode(F.sequence(F.lit(0), F.lit(TERM_PIECES - 1)))
+        piece = F.pmod(F.xxhash64("doc_key"), F.lit(TERM_PIECES)).cast("int")
+        return (self.postings.withColumn("piece", piece)
+                .join(self.weighted.withColumn("piece", pieces), ["term", "piece"]).drop("piece"))
+
 
-    The query side is counted first. While it is small it is broadcast: postings
-    then stay where they are, spread by document. A larger one is shuffled with
-    the postings, each term in ``TERM_PIECES`` pieces, as the postings of a
-    frequent term would swamp one task.
+def query_side(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_id",)) -> QuerySide:
+    """Counts the query terms, and finds their statistics in all batches of the index.
+
+    While the query side is small it is broadcast: postings then stay where they are,
+    spread by document. A larger one is shuffled with the postings, each term in
+    ``TERM_PIECES`` pieces, as the postings of a frequent term would swamp one task.
     """
     terms = query_terms(queries, keys)
     rows, size = cluster.counted_size(terms, "term")
@@ -46,15 +64,15 @@ def match(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_id",))
     weighted = known.select(
         "*", collection_probability(F.col("ctf"), index.total_terms).alias("p"),
         inverse_document_frequency(F.col("df"), index.doc_count).alias("idf"))
-    if small:
-        return postings.join(F.broadcast(weighted), "term")
-    pieces = F.explode(F.sequence(F.lit(0), F.lit(TERM_PIECES - 1)))
-    piece = F.pmod(F.xxhash64("doc_key"), F.lit(TERM_PIECES)).cast("int")
-    return (postings.withColumn("piece", piece)
-            .join(weighted.withColumn("piece", pieces), ["term", "piece"]).drop("piece"))
+    return QuerySide(weighted, postings, rows, small)
+
+
+def match(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_id",)) -> DataFrame:
+    """Every posting of every query term, with the term's statistics."""
+    return query_side(index, queries, keys).match()
 
 
-def scores(index: Index, queries: DataFrame, models: Sequence[Model],
+def scores(side: QuerySide, models: Sequence[Model],
            keys: Sequence[str] = ("query_id",)) -> DataFrame:
     """A5: one row per matched (keys, document), with one score column per model: s0, s1, ..
 
@@ -63,7 +81,7 @@ def scores(index: Index, queries: DataFrame, models: Sequence[Model],
     """
     sums = [F.sum(F.col("qtf") * model.term_score()).alias(f"s{i}")
             for i, model in enumerate(models)]
-    return match(index, queries, keys).groupBy(*keys, *DOC).agg(*sums)
+    return side.match().groupBy(*keys, *DOC).agg(*sums)
 
 
 def top_k(scored: DataFrame, k: int, keys: Sequence[str] = ("query_id",)) -> DataFrame:
@@ -80,7 +98,7 @@ def top_k(scored: DataFrame, k: int, keys: Sequence[str] = ("query_id",)) -> Dat
 def search(index: Index, queries: DataFrame, model: Model, k: int,
            keys: Sequence[str] = ("query_id",)) -> DataFrame:
     """Ranking ``(keys, rank, batch_id, doc_key, doc_id, score)`` of a whole query set."""
-    scored = scores(index, queries, [model], keys)
+    scored = scores(query_side(index, queries, keys), [model], keys)
     return top_k(scored.select(*keys, *DOC, places(F.col("s0")).alias("score")), k, keys)
 
 

@@ -16,8 +16,6 @@ def spark():
                .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="rankloom-"))
                .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rankloom-"))
                .config("spark.driver.memory", "4g")
-               # many short jobs: light compilation pays off
-               .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .getOrCreate())

@@ -1,8 +1,8 @@
 import pytest
-from pyspark.sql import functions as F
 
 from rankloom import Model, cluster, evaluate_ranking, search, select_queries, show_ranking
 from rankloom.operators import search as search_ops
+from rankloom.plans import tune
 from rankloom.plans.tune import sweep_rankings
 from workload import queries as workload
 
@@ -49,12 +49,23 @@ def test_plan_moves_only_the_best_rows(given):
     assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
 
 
-def test_sweep_plan_has_one_pass(given):
+def test_sweep_plan(given):
     index, queries = given
     text = plan(sweep_rankings(index, queries, "jm", 10))
-    assert text.count("_postings_") == 1
+    assert text.count("_postings_") == 2  # one pass for all parameters, and its pilot
     main = text[:text.index("BroadcastExchange")]
     assert main.count("Exchange hashpartitioning") == 1
+    assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("pilot", [1, 8, 1_000_000])
+def test_sweep_rankings_equal_single_rankings(given, monkeypatch, pilot):
+    index, queries = given
+    monkeypatch.setattr(tune, "PILOT", pilot)
+    swept = cluster.materialise(sweep_rankings(index, queries, "dir", 10))
+    for param in (0.0, 2500.0):
+        single = search(index, queries, Model("dir", param), 10)
+        assert rows(swept.filter(f"param = {param}").select(single.columns)) == rows(single)
 
 
 def test_text_is_tokenised_once(given):
