@@ -37,12 +37,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def counted_size(df: DataFrame, text: str) -> tuple[int, int]:
-    """Rows of ``df`` and their estimated bytes; ``text`` is its one string column."""
-    rows, chars = df.agg(F.count("*"), F.sum(F.octet_length(text))).first()
-    return rows, (chars or 0) + rows * ROW_BYTES
-
-
 def any_of(column: str, values: list):
     """``column`` equals one of ``values``, as a balanced OR.
 

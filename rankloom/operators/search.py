@@ -12,6 +12,7 @@ from rankloom import cluster
 from rankloom.functions.models import (Model, collection_probability,
                                        inverse_document_frequency)
 from rankloom.functions.numbers import places
+from rankloom.functions.text import tokens
 from rankloom.operators.terms import query_terms
 from rankloom.sources.index import Index
 
@@ -42,25 +43,29 @@ class QuerySide:
 
 
 def query_side(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_id",)) -> QuerySide:
-    """Counts the query terms, and finds their statistics in all batches of the index.
+    """Sizes the query set, and finds its terms' statistics in all batches of the index.
 
     While the query side is small it is broadcast: postings then stay where they are,
     spread by document. A larger one is shuffled with the postings, each term in
     ``TERM_PIECES`` pieces, as the postings of a frequent term would swamp one task.
     """
     terms = query_terms(queries, keys)
-    rows, size = cluster.counted_size(terms, "term")
-    small = size <= cluster.BROADCAST_BYTES
+    # words and bytes of the texts: upper bounds of the terms' rows and characters
+    words, chars = queries.agg(F.sum(F.size(tokens("text"))), F.sum(F.octet_length("text"))).first()
+    rows = words or 0
+    small = (chars or 0) + rows * cluster.ROW_BYTES <= cluster.BROADCAST_BYTES
     stats, postings = index.term_stats, index.postings
     if 0 < rows <= PUSHED_TERMS:
         wanted = cluster.any_of(
             "term", [r.term for r in terms.select("term").distinct().collect()])
         stats, postings = stats.filter(wanted), postings.filter(wanted)
 
-    # only the query's terms keep their statistics; the batches of an index add up
-    known = (stats.join(F.broadcast(terms) if small else terms, "term")
-             .groupBy(*keys, "term", "qtf")
-             .agg(F.sum("df").alias("df"), F.sum("ctf").alias("ctf")))
+    # only the query's terms keep their statistics
+    known = stats.join(F.broadcast(terms) if small else terms, "term").select(
+        *keys, "term", "qtf", "df", "ctf")
+    if index.batches > 1:  # one row per term and batch: add them up
+        known = known.groupBy(*keys, "term", "qtf").agg(
+            F.sum("df").alias("df"), F.sum("ctf").alias("ctf"))
     weighted = known.select(
         "*", collection_probability(F.col("ctf"), index.total_terms).alias("p"),
         inverse_document_frequency(F.col("df"), index.doc_count).alias("idf"))

@@ -32,6 +32,7 @@ class Index:
 
     path: str
     buckets: int
+    batches: int
     doc_count: int
     total_terms: int
     docs: DataFrame
@@ -128,14 +129,14 @@ def open_index(spark: SparkSession, path: str) -> Index:
         raise FileNotFoundError(f"no index at {path}")
     buckets = committed[0].buckets
     docs_table, postings_table = _tables(spark, path, buckets)
-    batches = F.col("batch_id").isin([r.batch_id for r in committed])
+    counted = F.col("batch_id").isin([r.batch_id for r in committed])
     return Index(
-        path=path, buckets=buckets,
+        path=path, buckets=buckets, batches=len(committed),
         doc_count=sum(r.doc_count for r in committed),
         total_terms=sum(r.total_terms for r in committed),
-        docs=spark.table(docs_table).filter(batches),
-        postings=spark.table(postings_table).filter(batches),
-        term_stats=spark.read.parquet(f"{path}/term_stats").filter(batches))
+        docs=spark.table(docs_table).filter(counted),
+        postings=spark.table(postings_table).filter(counted),
+        term_stats=spark.read.parquet(f"{path}/term_stats").filter(counted))
 
 
 def build_index(docs: DataFrame, buckets: int | None = None) -> Index:
