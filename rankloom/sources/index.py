@@ -23,6 +23,9 @@ MODES = ("create", "append", "create_or_append")
 DOC_COLUMNS = "batch_id INT, doc_key BIGINT, doc_id BIGINT, contents STRING"
 POSTING_COLUMNS = ("term STRING, batch_id INT, doc_key BIGINT, doc_id BIGINT, tf INT, "
                    "doc_len INT")
+# Text per bucket when the number of buckets is left open, and the most that Spark allows.
+BUCKET_BYTES = 512 * 1024 * 1024
+MAX_BUCKETS = 100_000
 STATS_COLUMNS = "batch_id INT, doc_count BIGINT, total_terms BIGINT, buckets INT"
 
 
@@ -67,16 +70,26 @@ def _tables(spark: SparkSession, path: str, buckets: int) -> tuple[str, str]:
             _table(spark, path, "postings", POSTING_COLUMNS, "term", buckets))
 
 
+def _bucket_count(docs: DataFrame) -> int:
+    size = docs.agg(F.sum(F.octet_length("contents"))).first()[0] or 0
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_BUCKETS, max(least, -(-size // BUCKET_BYTES)))
+
+
 def write_index(docs: DataFrame, path: str, mode: str = "create",
                 buckets: int | None = None) -> Index:
     """Adds ``docs(doc_id, contents)`` as one batch and opens the result.
 
     ``create`` replaces what is at ``path``, ``append`` needs an index there,
     ``create_or_append`` does whichever fits. Documents are only ever added: one
-    appended twice counts twice. ``buckets`` (default: the session's shuffle
-    partitions) is how many tasks a search runs in; an append keeps the old number.
+    appended twice counts twice. ``buckets`` is how many tasks a search runs in; by
+    default it follows the size of the texts, and an append keeps the old number.
     A batch counts once its row in ``collection_stats`` is written, as the last
-    step, so a failed call leaves the index as it was. One writer at a time.
+    step, so a failed append leaves the index as it was. One writer at a time.
+
+    ``docs`` should come straight from files: a scan gives the same rows in the same
+    order when a lost task is done again, and so the same keys. Write the outcome of
+    a join or an aggregation to a table first.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -87,7 +100,7 @@ def write_index(docs: DataFrame, path: str, mode: str = "create",
     adding = bool(committed) and mode != "create"
     if adding:
         buckets = committed[0].buckets
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or _bucket_count(docs)
     if not adding:  # nothing counts until the new batch is complete
         spark.createDataFrame([], STATS_COLUMNS).write.mode("overwrite").parquet(
             f"{path}/collection_stats")
