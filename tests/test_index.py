@@ -91,3 +91,11 @@ def test_documents_without_words(spark, tmp_path):
 def test_empty_collection(spark, tmp_path):
     index = write_index(docs(spark, []), str(tmp_path / "i"))
     assert index.doc_count == 0 and ranks(index) == []
+
+
+def test_buckets_follow_the_size_of_the_texts(spark, tmp_path, monkeypatch):
+    rows = [(i, "alpha beta") for i in range(20)]
+    monkeypatch.setattr(index_module, "BUCKET_BYTES", 20)
+    index = write_index(docs(spark, rows), str(tmp_path / "i"))
+    assert index.buckets == 10
+    assert [d for q, _, d, _ in ranks(index) if q == 1] == list(range(10))

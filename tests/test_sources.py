@@ -16,25 +16,25 @@ def rows(df):
 
 
 def test_corpus(spark, tmp_path):
-    path = put(tmp_path, "doc-text",
+    path = put(tmp_path, "documents.txt",
                "1\nfirst line\nsecond line\n   /\n2\n\n   /\n   /\n3\n   /\n4\nwith / and /\n/\n   /\n5\nlast\n   /")
     assert rows(read_corpus(spark, path)) == [
         (1, "first line\nsecond line\n"), (2, "\n"), (3, ""), (4, "with / and /\n/\n"), (5, "last\n")]
 
 
 def test_corpus_ends_with_newline_and_stray_terminator(spark, tmp_path):
-    path = put(tmp_path, "doc-text", "1\na\n   /\n2\nb\n   /\n   /\n")
+    path = put(tmp_path, "documents.txt", "1\na\n   /\n2\nb\n   /\n   /\n")
     assert rows(read_corpus(spark, path)) == [(1, "a\n"), (2, "b\n")]
 
 
 def test_last_record_without_terminator(spark, tmp_path):
-    path = put(tmp_path, "doc-text", "1\na\n   /\n2\nb")
+    path = put(tmp_path, "documents.txt", "1\na\n   /\n2\nb")
     assert rows(read_corpus(spark, path)) == [(1, "a\n"), (2, "b\n")]
 
 
 def test_file_split_over_tasks(spark, tmp_path):
     records = [(i, f"text of {i} " + "x" * (i % 97)) for i in range(3000)]
-    path = put(tmp_path, "doc-text", "".join(f"{i}\n{t}\n   /\n" for i, t in records))
+    path = put(tmp_path, "documents.txt", "".join(f"{i}\n{t}\n   /\n" for i, t in records))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4093b")
     try:
@@ -46,12 +46,12 @@ def test_file_split_over_tasks(spark, tmp_path):
 
 
 def test_queries(spark, tmp_path):
-    path = put(tmp_path, "query-text", "1\nMEASUREMENT OF\nDIELECTRIC\n/\n2\nword\n/\n/\n")
+    path = put(tmp_path, "queries.txt", "1\nMEASUREMENT OF\nDIELECTRIC\n/\n2\nword\n/\n/\n")
     assert rows(read_queries(spark, path)) == [(1, "MEASUREMENT OF DIELECTRIC"), (2, "word")]
 
 
 def test_judgements(spark, tmp_path):
-    path = put(tmp_path, "rlv-ass", "1\n  10  20 30\n 40\n   /\n2\n   /\n3\n5\n   /\n")
+    path = put(tmp_path, "judgements.txt", "1\n  10  20 30\n 40\n   /\n2\n   /\n3\n5\n   /\n")
     assert rows(read_qrels(spark, path)) == [(1, 10), (1, 20), (1, 30), (1, 40), (3, 5)]
 
 
