@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,27 +13,38 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_BYTES = 96
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; only a local session may make its own."""
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="rankloom-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return folder
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``, or else one below the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_rankloom"
 
 
 def fresh_folder(spark: SparkSession) -> str:
-    return f"{checkpoint_folder(spark)}/rankloom-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/rankloom-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder, so that later jobs read it instead of redoing it."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
+    """Write ``df`` to the scratch folder, so that later jobs read it instead of redoing it.
+
+    A Parquet table keeps statistics and columns apart, which an RDD checkpoint does
+    not, and needs no setting on the user's context.
+    """
+    path = fresh_folder(df.sparkSession)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of whichever file system ``path`` names; nothing there is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop_materialised(df: DataFrame) -> None:
+    """Deletes the files behind what ``materialise`` returned; nothing may read it afterwards."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.rsplit("/", 1)[1].startswith("rankloom-"):
+            remove_folder(df.sparkSession, folder)
 
 
 def any_of(column: str, values: list):
