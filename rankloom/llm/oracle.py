@@ -2,6 +2,42 @@
 
 from __future__ import annotations
 
+# Lower-cased words of letters, digits and everything beyond ASCII.
+PLAIN_WORDS = r"regexp_extract_all(translate(coalesce({0}, ''), '{1}', '{2}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def plain_words(column: str) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return PLAIN_WORDS.format(column, upper, upper.lower())
+
+
+OP9 = f"""
+WITH item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, {plain_words('text')} AS ws FROM benchmark
+  WHERE item_id IS NOT NULL),
+win AS (
+  SELECT DISTINCT item, list_slice(ws, i, i + least(10, len(ws)) - 1) AS words
+  FROM (SELECT item, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i
+        FROM item WHERE len(ws) > 0)),
+doc AS (SELECT row_number() OVER () AS k, doc_id, {plain_words('text')} AS ws FROM documents),
+place AS (SELECT k, ws, unnest(range(1, len(ws) + 1)) AS i FROM doc WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT len(words) AS n FROM win),
+spot AS (
+  SELECT p.k, p.i, s.n, w.item
+  FROM place p CROSS JOIN sizes s
+  JOIN win w ON w.words = list_slice(p.ws, p.i, p.i + s.n - 1)
+  WHERE p.i + s.n - 1 <= len(p.ws)),
+hits AS (
+  SELECT k, count(DISTINCT j) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS j FROM spot) GROUP BY k),
+items AS (
+  SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT k, item FROM spot) GROUP BY k)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+       coalesce(t.n_items, 0) AS n_items, sha256(coalesce(t.items, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN hits h USING (k) LEFT JOIN items t USING (k)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_decontaminate": OP9}

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import bpe, langid, sharding
+from rankloom.llm import bpe, decontaminate, langid, sharding
 from rankloom.llm.common import fold_of
 
 SHARDS = 24
@@ -41,6 +41,14 @@ def op7_sharding(spark, sf_dir):
     return sharding.assign_shards(docs, tree, sharding.grown_tree(tree))
 
 
+def op9_decontaminate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        decontaminate.items_digest(F.col("items")).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op10_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold_of(F.col("doc_id"), 4) == 2
@@ -50,4 +58,4 @@ def op10_langid(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_bpe, op7_sharding, op10_langid)}
+    return {f.__name__: f for f in (op3_bpe, op7_sharding, op9_decontaminate, op10_langid)}
