@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import bpe, decontaminate, langid, sharding
+from rankloom.llm import bpe, decontaminate, langid, lm, sharding
 from rankloom.llm.common import fold_of
 
 SHARDS = 24
@@ -35,6 +35,11 @@ def op3_bpe(spark, sf_dir):
                        hex_digest(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op4_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score_documents(docs, fold_of(F.col("doc_id"), 7) == 2)
+
+
 def op7_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     tree = sharding.regular_tree(SHARDS)
@@ -58,4 +63,4 @@ def op10_langid(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_bpe, op7_sharding, op9_decontaminate, op10_langid)}
+    return {f.__name__: f for f in (op3_bpe, op4_lm, op7_sharding, op9_decontaminate, op10_langid)}
