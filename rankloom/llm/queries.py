@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import bpe, decontaminate, langid, lm, sharding
+from rankloom.llm import bpe, decontaminate, langid, lm, neardup, sharding
 from rankloom.llm.common import fold_of
 
 SHARDS = 24
@@ -26,6 +26,10 @@ def hex_digest(text):
     return F.sha2(text.cast("binary"), 256)
 
 
+def op2_neardup(spark, sf_dir):
+    return neardup.link_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = bpe.encode_documents(docs, vocabulary_path(), decoded=True)
@@ -63,4 +67,4 @@ def op10_langid(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_bpe, op4_lm, op7_sharding, op9_decontaminate, op10_langid)}
+    return {f.__name__: f for f in (op2_neardup, op3_bpe, op4_lm, op7_sharding, op9_decontaminate, op10_langid)}
