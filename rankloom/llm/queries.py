@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import bpe, decontaminate, langid, lm, neardup, sharding
+from rankloom.llm import bpe, decontaminate, langid, lm, neardup, sharding, toxicity
 from rankloom.llm.common import fold_of
 
 SHARDS = 24
@@ -44,6 +44,13 @@ def op4_lm(spark, sf_dir):
     return lm.score_documents(docs, fold_of(F.col("doc_id"), 7) == 2)
 
 
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold_of(F.col("doc_id"), 5) == 0
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     tree = sharding.regular_tree(SHARDS)
@@ -67,4 +74,4 @@ def op10_langid(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_neardup, op3_bpe, op4_lm, op7_sharding, op9_decontaminate, op10_langid)}
+    return {f.__name__: f for f in (op2_neardup, op3_bpe, op4_lm, op6_toxicity, op7_sharding, op9_decontaminate, op10_langid)}
