@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import bpe, decontaminate, langid, lm, neardup, sharding, toxicity
+from rankloom.llm import bpe, decontaminate, langid, lm, neardup, pii, sharding, toxicity
 from rankloom.llm.common import fold_of
 
 SHARDS = 24
@@ -44,6 +44,15 @@ def op4_lm(spark, sf_dir):
     return lm.score_documents(docs, fold_of(F.col("doc_id"), 7) == 2)
 
 
+def op5_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    counts = [F.size(F.filter(F.col("base.kind"), lambda kind: kind == name)).cast("bigint").alias(f"n_{name}")
+              for name in pii.KINDS]
+    return found.select("doc_id", *counts, hex_digest(pii.listed(F.col("base"))).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold_of(F.col("doc_id"), 5) == 0
@@ -74,4 +83,4 @@ def op10_langid(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_neardup, op3_bpe, op4_lm, op6_toxicity, op7_sharding, op9_decontaminate, op10_langid)}
+    return {f.__name__: f for f in (op2_neardup, op3_bpe, op4_lm, op5_pii, op6_toxicity, op7_sharding, op9_decontaminate, op10_langid)}
