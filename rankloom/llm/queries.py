@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import bpe, decontaminate, langid, lm, neardup, pii, sharding, toxicity
+from rankloom.llm import bpe, decontaminate, langid, lm, neardup, pii, sharding, toxicity, winnow
 from rankloom.llm.common import fold_of
 
 SHARDS = 24
@@ -26,6 +26,14 @@ def hex_digest(text):
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_winnow(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return winnow.edited_fingerprints(docs).select(
+        "doc_id", "n_chars", hex_digest(F.col("edited")).alias("edited_sha256"),
+        winnow.shown(F.col("marks")).alias("fingerprint"),
+        winnow.shown(F.col("edited_marks")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op2_neardup(spark, sf_dir):
     return neardup.link_documents(table(spark, sf_dir, "documents"))
 
@@ -83,4 +91,4 @@ def op10_langid(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_neardup, op3_bpe, op4_lm, op5_pii, op6_toxicity, op7_sharding, op9_decontaminate, op10_langid)}
+    return {f.__name__: f for f in (op1_winnow, op2_neardup, op3_bpe, op4_lm, op5_pii, op6_toxicity, op7_sharding, op9_decontaminate, op10_langid)}
