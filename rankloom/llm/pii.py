@@ -51,9 +51,9 @@ LOOSE = {
     "card": (r"[0-9]{4}[._/][0-9]{4}", r"(?<![0-9])[0-9]{4}([._/])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])"),
     "phone": (r"[0-9]{3}[ .-][0-9]{4}", r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])"),
 }
-# Gazetteers, as patterns of a whole span.
+# Gazetteers, as patterns of a span's beginning or end.
 GAZETTEER = {
-    "email": r"(?i).*[.\]) ](?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu|us)$",
+    "email": r"(?i)[.\]) ](?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu|us)$",
     "ip": r"^(?:10\.|127\.|192\.168\.|0\.|255\.).*",  # votes against
     "card": r"^(?:4|5[1-5]|3[47]|6011|65|35|30[0-5]|36|38|2[2-7]).*",
     "phone": r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])[^0-9]?.*",
@@ -92,10 +92,15 @@ def _form(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _tail(value: Column) -> Column:
+    """The end of a span, as long as a top-level domain needs."""
+    return F.substring(value, -30, 30)
+
+
 def _plausible(kind: str, value: Column) -> Column:
     """The form labeler: stricter than the form."""
     if kind == "email":
-        return value.rlike(r"(?i)[a-z].*[.\]) ][a-z]{2,24}$")
+        return _tail(value).rlike(r"(?i)[.\]) ][a-z]{2,24}$")
     if kind == "ip":
         return ~value.rlike(r"(?:^|\.)0[0-9]")
     if kind == "card":
@@ -173,7 +178,7 @@ def _votes(s: Column, text: Column) -> list[Column]:
     before = F.lower(F.substring(text, start + 1, s["start"] - start))
     sides = F.concat(F.when(s["start"] > 0, F.substring(text, s["start"], F.lit(1))).otherwise(""),
                      F.substring(text, s["end"] + 1, F.lit(1)))
-    listed = {k: value.rlike(GAZETTEER[k]) for k in KINDS}
+    listed = {k: (_tail(value) if k == "email" else value).rlike(GAZETTEER[k]) for k in KINDS}
     votes = [
         F.when(s["strict"], 1).otherwise(0),
         _by_kind(kind, lambda k: F.when(_plausible(k, value), 1).otherwise(-1)),
