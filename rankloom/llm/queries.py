@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import bpe, decontaminate, langid, lm, neardup, pii, sharding, toxicity, winnow
+from rankloom.llm import bpe, decontaminate, langid, lm, neardup, pii, sharding, suffixes, toxicity, winnow
 from rankloom.llm.common import fold_of
 
 SHARDS = 24
@@ -74,6 +74,10 @@ def op7_sharding(spark, sf_dir):
     return sharding.assign_shards(docs, tree, sharding.grown_tree(tree))
 
 
+def op8_suffixes(spark, sf_dir):
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -91,4 +95,4 @@ def op10_langid(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_winnow, op2_neardup, op3_bpe, op4_lm, op5_pii, op6_toxicity, op7_sharding, op9_decontaminate, op10_langid)}
+    return {f.__name__: f for f in (op1_winnow, op2_neardup, op3_bpe, op4_lm, op5_pii, op6_toxicity, op7_sharding, op8_suffixes, op9_decontaminate, op10_langid)}
