@@ -94,5 +94,15 @@ def op10_langid(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline  # stands at the top of the repository and uses this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_winnow, op2_neardup, op3_bpe, op4_lm, op5_pii, op6_toxicity, op7_sharding, op8_suffixes, op9_decontaminate, op10_langid)}
+    import corpus_pipeline  # noqa: F401  without it there is no pipeline to register
+
+    return {f.__name__: f for f in (
+        op1_winnow, op2_neardup, op3_bpe, op4_lm, op5_pii, op6_toxicity, op7_sharding, op8_suffixes,
+        op9_decontaminate, op10_langid, pipeline)}
