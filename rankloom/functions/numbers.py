@@ -44,28 +44,46 @@ def normal_below(z: Column) -> Column:
     return F.when(z > 0, 1.0 - upper).otherwise(upper)
 
 
-# Beyond this many degrees of freedom the normal form below is off by less than 1e-9.
-SERIES_FREEDOM = 100_000
+# Steps by which the argument of the gamma ratio is raised before its series is used.
+GAMMA_STEPS = 24
+
+
+def _log_gamma_ratio(z: Column) -> Column:
+    """log(gamma(z) / gamma(z + 1/2)) by its asymptotic series, far enough up."""
+    raised = sum((F.log1p(0.5 / (z + float(k))) for k in range(GAMMA_STEPS)), F.lit(0.0))
+    y = z + float(GAMMA_STEPS)
+    series = 1.0 / (8.0 * y) - 1.0 / (192.0 * y * y * y) + 1.0 / (640.0 * F.pow(y, F.lit(5.0)))
+    return raised - 0.5 * F.log(y) + series
+
+
+def _beta_fraction(x: Column, a: Column, b: Column, steps: Column) -> Column:
+    """The continued fraction of the incomplete beta function, from its end."""
+    def back(acc, k):
+        m = F.floor(k / 2).cast("double")
+        even = m * (b - m) * x / ((a + 2.0 * m - 1.0) * (a + 2.0 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2.0 * m) * (a + 2.0 * m + 1.0))
+        return 1.0 + F.when(k % 2 == 0, even).otherwise(odd) / acc
+
+    return 1.0 / F.aggregate(F.sequence(steps, F.lit(1), F.lit(-1)), F.lit(1.0), back)
 
 
 def student_two_sided(t: Column, freedom: Column) -> Column:
-    """P(|T| >= |t|) for whole degrees of freedom, by the finite trigonometric series."""
+    """P(|T| >= |t|): the incomplete beta function at nu / (nu + t^2), by continued fraction.
+
+    Its side that converges is evaluated; for large |t| that is the tail itself, so small
+    values are not differences of large ones.
+    """
     nu = freedom.cast("double")
-    theta = F.atan(F.abs(t) / F.sqrt(nu))
-    cos, sin = F.cos(theta), F.sin(theta)
-    odd = (freedom % 2) == 1
-    n_steps = F.floor((nu - F.when(odd, 3.0).otherwise(2.0)) / 2.0)
-    series = _fold(
-        n_steps, F.when(odd, cos).otherwise(F.lit(1.0)),
-        lambda term, k: term * cos * cos * F.when(odd, 2.0 * k / (2.0 * k + 1.0))
-        .otherwise((2.0 * k - 1.0) / (2.0 * k)))
-    inside = (F.when(freedom == 1, theta * 2.0 / math.pi)
-              .when(odd, (theta + sin * series) * 2.0 / math.pi)
-              .otherwise(sin * series))
-    z = (8.0 * nu + 1.0) / (8.0 * nu + 3.0) * F.sqrt(nu * F.log1p(t * t / nu))
-    exact = F.greatest(F.lit(0.0), 1.0 - inside)
+    half, other = nu / 2.0, F.lit(0.5)
+    r = t * t / nu
+    x, rest = 1.0 / (1.0 + r), r / (1.0 + r)
+    steps = (100 + 8 * F.ceil(F.sqrt(nu))).cast("int")
+    # x^a (1-x)^b / beta(a, b), as a logarithm
+    front = -half * F.log1p(r) + 0.5 * F.log(rest) - (_log_gamma_ratio(half) + 0.5 * math.log(math.pi))
+    tail = F.exp(front) / half * _beta_fraction(x, half, other, steps)
+    middle = 1.0 - F.exp(front) / 0.5 * _beta_fraction(rest, other, half, steps)
+    direct = x < (half + 1.0) / (half + 2.5)
     # no t, no p; an endless t leaves nothing outside
     return (F.when(t.isNull(), F.lit(None).cast("double"))
-            .when(F.abs(t) == float("inf"), F.lit(0.0))
-            .when(freedom > SERIES_FREEDOM, 2.0 * normal_below(-z))
-            .otherwise(exact))
+            .when(F.abs(t) == float("inf"), F.lit(0.0)).when(t == 0, F.lit(1.0))
+            .when(direct, tail).otherwise(middle))

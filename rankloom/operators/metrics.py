@@ -50,10 +50,9 @@ def metrics(asked: DataFrame, flagged: DataFrame, counts: DataFrame,
     if on_empty == "skip":
         table = table.filter(F.col("n_relevant") > 0)
     if on_empty == "error":
-        table = table.withColumn("n_relevant", F.when(
-            F.col("n_relevant") == 0,
-            F.raise_error(F.concat(F.lit("no relevant document for query "), "query_id"))
-            .cast("bigint")).otherwise(F.col("n_relevant")))
+        # a filter, as a column that nobody selects would be optimised away
+        table = table.filter(F.when(F.col("n_relevant") > 0, True).otherwise(F.raise_error(
+            F.concat(F.lit("no relevant document for query "), "query_id")).cast("boolean")))
     hits, judged = F.col("n_hits"), F.col("n_relevant")
     return table.select(
         *keys, "n_retrieved", "n_hits", "n_relevant",

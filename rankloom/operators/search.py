@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,9 +19,12 @@ from rankloom.sources.index import Index
 DOC = ("batch_id", "doc_key", "doc_id")
 # Up to this many different values a scan filter names each one.
 PUSHED_TERMS = 64
+# Share of the documents that is ranked first, to bound what the others must reach.
+PILOT = 8
 PUSHED_DOCS = 1000
-# Pieces a term's postings are split into when the query side is shuffled.
-TERM_PIECES = 32
+# When the query side is shuffled, a term's postings are split into a piece for every so many
+# buckets of the index, and this many at least.
+BUCKETS_PER_PIECE, LEAST_PIECES = 8, 32
 
 
 @dataclass(frozen=True)
@@ -32,12 +35,13 @@ class QuerySide:
     postings: DataFrame
     rows: int
     small: bool
+    pieces: int
 
     def match(self) -> DataFrame:
         if self.small:
             return self.postings.join(F.broadcast(self.weighted), "term")
-        pieces = F.explode(F.sequence(F.lit(0), F.lit(TERM_PIECES - 1)))
-        piece = F.pmod(F.xxhash64("doc_key"), F.lit(TERM_PIECES)).cast("int")
+        pieces = F.explode(F.sequence(F.lit(0), F.lit(self.pieces - 1)))
+        piece = F.pmod(F.xxhash64("doc_key"), F.lit(self.pieces)).cast("int")
         return (self.postings.withColumn("piece", piece)
                 .join(self.weighted.withColumn("piece", pieces), ["term", "piece"]).drop("piece"))
 
@@ -47,7 +51,8 @@ def query_side(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_i
 
     While the query side is small it is broadcast: postings then stay where they are,
     spread by document. A larger one is shuffled with the postings, each term in
-    ``TERM_PIECES`` pieces, as the postings of a frequent term would swamp one task.
+    pieces that grow in number with the index, as the postings of a frequent term would
+    swamp one task.
     """
     terms = query_terms(queries, keys)
     # words and bytes of the texts: upper bounds of the terms' rows and characters
@@ -69,7 +74,8 @@ def query_side(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_i
     weighted = known.select(
         "*", collection_probability(F.col("ctf"), index.total_terms).alias("p"),
         inverse_document_frequency(F.col("df"), index.doc_count).alias("idf"))
-    return QuerySide(weighted, postings, rows, small)
+    pieces = max(LEAST_PIECES, index.buckets // BUCKETS_PER_PIECE)
+    return QuerySide(weighted, postings, rows, small, pieces)
 
 
 def match(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_id",)) -> DataFrame:
@@ -100,11 +106,35 @@ def top_k(scored: DataFrame, k: int, keys: Sequence[str] = ("query_id",)) -> Dat
             .select(*keys, "rank", *DOC, "score"))
 
 
+def bounded_top_k(side: QuerySide, laid_out: Callable[[QuerySide], DataFrame], k: int,
+                  keys: Sequence[str], lists: int) -> DataFrame:
+    """``top_k`` of ``laid_out(side)``, most of whose rows are dropped before they are sorted.
+
+    The ``k``-th best score among one ``PILOT``-th of the documents is a score that the
+    ``k``-th best of all documents reaches too, so rows below it cannot be in the result.
+    About ``PILOT * k`` rows of each of the ``lists`` rankings are left, however many
+    documents match; that also bounds what the last merge of a ranking gets.
+    """
+    every = laid_out(side)
+    # one bound per ranking: at most this many rows to broadcast
+    if side.small and lists * cluster.ROW_BYTES <= cluster.BROADCAST_BYTES:
+        some = side.postings.filter(F.pmod(F.xxhash64("doc_key"), F.lit(PILOT)) == 0)
+        pilot = top_k(laid_out(replace(side, postings=some)), k, keys)
+        bounds = pilot.filter(F.col("rank") == k).select(*keys, F.col("score").alias("bound"))
+        every = (every.join(F.broadcast(bounds), list(keys), "left")
+                 .filter(F.col("bound").isNull() | (F.col("score") >= F.col("bound"))).drop("bound"))
+    return top_k(every, k, keys)
+
+
 def search(index: Index, queries: DataFrame, model: Model, k: int,
            keys: Sequence[str] = ("query_id",)) -> DataFrame:
     """Ranking ``(keys, rank, batch_id, doc_key, doc_id, score)`` of a whole query set."""
-    scored = scores(query_side(index, queries, keys), [model], keys)
-    return top_k(scored.select(*keys, *DOC, places(F.col("s0")).alias("score")), k, keys)
+    side = query_side(index, queries, keys)
+
+    def laid_out(side: QuerySide) -> DataFrame:
+        return scores(side, [model], keys).select(*keys, *DOC, places(F.col("s0")).alias("score"))
+
+    return bounded_top_k(side, laid_out, k, keys, side.rows)
 
 
 def stored_documents(index: Index, ranking: DataFrame) -> DataFrame:

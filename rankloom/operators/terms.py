@@ -58,11 +58,17 @@ def query_terms(queries: DataFrame, keys: Sequence[str] = ("query_id",)) -> Data
 
 
 def select_queries(queries: DataFrame, which: str) -> DataFrame:
-    """``"all"``, one number as ``"5"``, or an inclusive range as ``"1-20"``."""
+    """``"all"``, one number as ``"5"``, or an inclusive range as ``"1-20"``.
+
+    A number or range without any query is an error.
+    """
     if which == "all":
         return queries
     parts = re.fullmatch(r"(\d+)(?:-(\d+))?", which)
     if not parts:
         raise ValueError(f"queries must be all, N or A-B, not {which!r}")
     first = int(parts[1])
-    return queries.filter(F.col("query_id").between(first, int(parts[2] or first)))
+    chosen = queries.filter(F.col("query_id").between(first, int(parts[2] or first)))
+    if chosen.isEmpty():
+        raise ValueError(f"there is no query {which}")
+    return chosen

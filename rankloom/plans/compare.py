@@ -7,20 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankloom import cluster
 from rankloom.functions.numbers import normal_below, places, student_two_sided
 
 TESTS = ("t", "wilcoxon")
 
 
 def paired(run_a: DataFrame, run_b: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``(by, query_id, a, b)``; a query that only one run has is an error."""
+    """``(by, query_id, a, b)``; a query that is not in either run once is an error."""
     keys = [*by, "query_id"]
-    a = run_a.select(*keys, F.col("value").alias("a"), F.lit(True).alias("in_a"))
-    b = run_b.select(*keys, F.col("value").alias("b"), F.lit(True).alias("in_b"))
-    both = a.join(b, keys, "full_outer")
-    complete = F.col("in_a").isNotNull() & F.col("in_b").isNotNull()
-    wrong = F.raise_error(F.concat(F.lit("only one run has query "), "query_id")).cast("double")
-    return both.select(*keys, F.when(complete, F.col("a")).otherwise(wrong).alias("a"), "b")
+    sides = [run.select(*keys, F.lit(side).alias("side"), "value") for side, run in (("a", run_a), ("b", run_b))]
+    lines = sides[0].unionByName(sides[1])
+
+    def of(side: str) -> list:
+        own = F.col("side") == side
+        return [F.count_if(own).alias(f"n_{side}"), F.max(F.when(own, F.col("value"))).alias(side)]
+
+    both = lines.groupBy(*keys).agg(*of("a"), *of("b"))
+    wrong = (F.when((F.col("n_a") == 0) | (F.col("n_b") == 0), F.lit("only one run has query "))
+             .otherwise(F.lit("a run repeats query ")))
+    complete = (F.col("n_a") == 1) & (F.col("n_b") == 1)
+    # a filter, as an unused column would be optimised away
+    return both.filter(F.when(complete, True).otherwise(F.raise_error(
+        F.concat(wrong, F.col("query_id").cast("string"))).cast("boolean"))).select(*keys, "a", "b")
 
 
 def _enough(pairs: DataFrame, least: int) -> DataFrame:
@@ -47,17 +56,26 @@ def wilcoxon(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Q2: ``(by, n, statistic, p_value)`` by the normal approximation.
 
     Zero differences keep their rank and count to the negative side. Pairs are first
-    counted per size of difference, so that ranking handles one row per size.
+    counted per size of difference; the sizes are then ranked in ranges, each by a task of
+    its own, which start where the ranges before them end.
     """
     d = places(F.col("b") - F.col("a"), 9)
     sizes = (pairs.select(*by, d.alias("d"))
              .groupBy(*by, F.abs("d").alias("size"))
              .agg(F.count("*").alias("n"), F.count_if(F.col("d") > 0).alias("n_up")))
-    upto = Window.partitionBy(*by).orderBy("size").rowsBetween(
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written down, as two readings must agree on the ranges
+    ranges = cluster.materialise(
+        sizes.repartitionByRange(parts, *by, "size").withColumn("part", F.spark_partition_id()))
+    # one row per range and pair of runs
+    counts = ranges.groupBy(*by, "part").agg(F.sum("n").alias("n_part"))
+    before = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*by, "part", F.coalesce(F.sum("n_part").over(before), F.lit(0)).alias("start"))
+    upto = Window.partitionBy(*by, "part").orderBy("size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     # equal sizes share the mean of the ranks they fill
-    ranked = sizes.withColumn("last", F.sum("n").over(upto)).withColumn(
-        "rank", F.col("last") - (F.col("n") - 1) / 2.0)
+    ranked = (ranges.withColumn("inside", F.sum("n").over(upto)).join(starts, [*by, "part"])
+              .withColumn("rank", F.col("start") + F.col("inside") - (F.col("n") - 1) / 2.0))
     sums = ranked.groupBy(*by).agg(F.sum("n").alias("n"),
                                    F.sum(F.col("n_up") * F.col("rank")).alias("up"))
     n = F.col("n").cast("double")

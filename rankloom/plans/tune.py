@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from rankloom import cluster
 from rankloom.functions.models import Model
 from rankloom.functions.numbers import places
 from rankloom.operators.metrics import metric_column, metrics, mean_value, relevant_counts
-from rankloom.operators.search import DOC, QuerySide, flag_relevant, query_side, scores, top_k
+from rankloom.operators.search import DOC, QuerySide, bounded_top_k, flag_relevant, query_side, scores
 from rankloom.operators.terms import select_queries
 from rankloom.plans.evaluate import evaluate
 from rankloom.sources.index import Index
@@ -24,8 +24,6 @@ SWEEPS = {
 LABELS = {"jm": "lambda", "dir": "mu"}
 # The more varied key first: sorting compares it first.
 KEYS = ("query_id", "param")
-# Share of the documents that is ranked first, to bound what the others must reach.
-PILOT = 8
 
 
 def _params(kind: str) -> list[float]:
@@ -38,9 +36,7 @@ def sweep_rankings(index: Index, queries: DataFrame, kind: str, k: int) -> DataF
     """The ranking of every query under every parameter, from one pass over the matches.
 
     A document's scores under all parameters are summed side by side; only the sums,
-    not the matches, are laid out as one row per parameter. Most of those rows are
-    dropped before they are sorted: the ``k``-th best score among one ``PILOT``-th of
-    the documents is a score that the ``k``-th best of all documents reaches too.
+    not the matches, are laid out as one row per parameter.
     """
     params = _params(kind)
     cells = [c for i, p in enumerate(params) for c in (F.lit(p), places(F.col(f"s{i}")))]
@@ -51,15 +47,7 @@ def sweep_rankings(index: Index, queries: DataFrame, kind: str, k: int) -> DataF
         return scored.select("query_id", *DOC, rows)
 
     side = query_side(index, queries)
-    every = laid_out(side)
-    # one bound per query and parameter: at most this many rows to broadcast
-    if side.small and side.rows * len(params) * cluster.ROW_BYTES <= cluster.BROADCAST_BYTES:
-        some = side.postings.filter(F.pmod(F.xxhash64("doc_key"), F.lit(PILOT)) == 0)
-        pilot = top_k(laid_out(replace(side, postings=some)), k, KEYS)
-        bounds = pilot.filter(F.col("rank") == k).select(*KEYS, F.col("score").alias("bound"))
-        every = (every.join(F.broadcast(bounds), list(KEYS), "left")
-                 .filter(F.col("bound").isNull() | (F.col("score") >= F.col("bound"))).drop("bound"))
-    return top_k(every, k, KEYS)
+    return bounded_top_k(side, laid_out, k, KEYS, side.rows * len(params))
 
 
 def sweep(index: Index, queries: DataFrame, qrels: DataFrame, kind: str, cut: int,

@@ -11,18 +11,41 @@ QUERY_END = "/"
 JUDGEMENT_END = "   /"
 
 
+def _line_end(spark: SparkSession, path: str, end: str) -> str:
+    """The line ending of a collection, told by the closing lines of each file; a mixture is an error.
+
+    The last line of a file may have no ending at all.
+    """
+    line = F.col("value")
+    files = spark.read.option("lineSep", "\n").text(path).groupBy(F.input_file_name()).agg(
+        F.count_if(line == end).alias("bare"), F.count_if(line == f"{end}\r").alias("closed"),
+        F.count_if(F.endswith(line, F.lit("\r"))).alias("returns"))
+    windows = (F.col("closed") > 0) | ((F.col("bare") <= 1) & (F.col("returns") > 0))
+    found = files.select(windows.alias("w"), ((F.col("closed") > 0) & (F.col("bare") > 1)).alias("m")).distinct().collect()
+    if len({r.w for r in found}) == 2 or any(r.m for r in found):
+        raise ValueError(f"{path} mixes two kinds of line endings")
+    return "\r\n" if any(r.w for r in found) else "\n"
+
+
 def _records(spark: SparkSession, path: str, end: str) -> DataFrame:
-    """``(number, body)`` of every record; anything without a number on its first line is dropped.
+    """``(number, body)`` of every record, with plain line feeds in the body.
 
     The reader splits at the closing line itself, so a large file is read by many tasks.
+    A record whose first line is no number is an error; stray closing lines are not.
     """
-    raw = spark.read.option("lineSep", f"\n{end}\n").text(path)
+    eol = _line_end(spark, path, end)
+    raw = spark.read.option("lineSep", f"{eol}{end}{eol}").text(path)
     # closing lines that belong to no record stick to the next or to the last one
-    text = F.regexp_replace(F.col("value"), rf"\A(?:{end}\n)+", "")
+    plain = F.regexp_replace("value", "\r(?=\n|\\z)", "") if eol == "\r\n" else F.col("value")
+    text = F.regexp_replace(plain, rf"\A(?:{end}\n)+", "")
     text = F.regexp_replace(text, rf"(?:\A|\n){end}\n?\z", "")
     lines = F.split(text, "\n", 2)
-    split = raw.select(lines[0].alias("number"), F.get(lines, F.lit(1)).alias("body"))
-    return split.filter(F.col("number").rlike(r"\A-?\d+\z"))
+    split = raw.select(text.alias("text"), lines[0].alias("number"), F.get(lines, F.lit(1)).alias("body"))
+    headed = (F.when(F.contains(F.col("text"), F.lit(f"\n{end}\n")), F.raise_error(F.lit("a file mixes two kinds of line endings")).cast("boolean"))
+              .when(F.col("number").rlike(r"\A-?\d+\z"), True).when(F.trim(F.translate("text", "\n\r\t", "   ")) == "", False)
+              .otherwise(F.raise_error(F.concat(F.lit("a record begins with no number: "), F.substring("number", 1, 80)))
+                         .cast("boolean")))
+    return split.filter(headed).select("number", "body")
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:

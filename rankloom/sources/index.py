@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom import cluster
-from rankloom.functions.text import has_token
 from rankloom.operators.terms import term_frequencies, term_stats
 
 MODES = ("create", "append", "create_or_append")
@@ -26,6 +25,8 @@ POSTING_COLUMNS = ("term STRING, batch_id INT, doc_key BIGINT, doc_id BIGINT, tf
 # Text per bucket when the number of buckets is left open, and the most that Spark allows.
 BUCKET_BYTES = 512 * 1024 * 1024
 MAX_BUCKETS = 100_000
+# Compressed files hold about so many times their size in text.
+FILE_BYTES_TO_TEXT = 2
 STATS_COLUMNS = "batch_id INT, doc_count BIGINT, total_terms BIGINT, buckets INT"
 
 
@@ -52,11 +53,15 @@ def _committed(spark: SparkSession, path: str) -> list:
         raise
 
 
+def _table_name(path: str, kind: str, buckets: int) -> str:
+    return f"rankloom_{kind}_{hashlib.md5(f'{path}/{kind}'.encode()).hexdigest()}_{buckets}"
+
+
 def _table(spark: SparkSession, path: str, kind: str, columns: str, sort: str,
            buckets: int) -> str:
     """Names the Parquet folder as a bucketed table of the session's catalog."""
     location = f"{path}/{kind}"
-    name = f"rankloom_{kind}_{hashlib.md5(location.encode()).hexdigest()}_{buckets}"
+    name = _table_name(path, kind, buckets)
     quoted = location.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
               f"CLUSTERED BY (doc_key) SORTED BY ({sort}) INTO {buckets} BUCKETS "
@@ -70,8 +75,19 @@ def _tables(spark: SparkSession, path: str, buckets: int) -> tuple[str, str]:
             _table(spark, path, "postings", POSTING_COLUMNS, "term", buckets))
 
 
+def _text_bytes(docs: DataFrame) -> int:
+    """Bytes of text: told by the input files' sizes, or counted where there are no files."""
+    spark = docs.sparkSession
+    files = docs.inputFiles()
+    if not files:
+        return docs.agg(F.sum(F.octet_length("contents"))).first()[0] or 0
+    conf, place = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    fs = place(files[0]).getFileSystem(conf)
+    return FILE_BYTES_TO_TEXT * sum(fs.getFileStatus(place(f)).getLen() for f in files)
+
+
 def _bucket_count(docs: DataFrame) -> int:
-    size = docs.agg(F.sum(F.octet_length("contents"))).first()[0] or 0
+    size = _text_bytes(docs)
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return min(MAX_BUCKETS, max(least, -(-size // BUCKET_BYTES)))
 
@@ -129,7 +145,8 @@ def write_index(docs: DataFrame, path: str, mode: str = "create",
      .parquet(f"{path}/term_stats"))
     total = (spark.read.parquet(f"{path}/term_stats").filter(F.col("batch_id") == batch)
              .agg(F.sum("ctf")).first()[0])
-    holding = stored.filter(has_token("contents")).count()
+    # documents with a word, from the postings: they lie by document, so nothing moves
+    holding = postings.select("doc_key").distinct().count()
     spark.createDataFrame([(batch, holding, total or 0, buckets)], STATS_COLUMNS).coalesce(
         1).write.mode("append").parquet(f"{path}/collection_stats")
     return open_index(spark, path)
@@ -152,6 +169,31 @@ def open_index(spark: SparkSession, path: str) -> Index:
         term_stats=spark.read.parquet(f"{path}/term_stats").filter(counted))
 
 
+def compact(index: Index, path: str, buckets: int | None = None) -> Index:
+    """The index at ``path`` with all its batches in ``buckets`` buckets.
+
+    For an index that appends have made too large for its buckets: the bucket number of
+    a folder is fixed by its first batch. By default it follows the size of the files.
+    """
+    spark = index.docs.sparkSession
+    buckets = buckets or _bucket_count(index.docs)
+    docs_table, postings_table = _tables(spark, path, buckets)
+    for rows, table in ((index.docs, docs_table), (index.postings, postings_table)):
+        rows.select(*spark.table(table).columns).repartition(buckets, "doc_key").write.insertInto(table, overwrite=True)
+    index.term_stats.write.mode("overwrite").parquet(f"{path}/term_stats")
+    stats = [(r.batch_id, r.doc_count, r.total_terms, buckets) for r in _committed(spark, index.path)]
+    spark.createDataFrame(stats, STATS_COLUMNS).coalesce(1).write.mode("overwrite").parquet(f"{path}/collection_stats")
+    return open_index(spark, path)
+
+
+def drop_index(index: Index) -> None:
+    """Takes the index's tables out of the catalog and deletes its folder."""
+    spark = index.docs.sparkSession
+    for kind in ("docs", "postings"):
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(index.path, kind, index.buckets)}")
+    cluster.remove_folder(spark, index.path)
+
+
 def build_index(docs: DataFrame, buckets: int | None = None) -> Index:
     """An index in a fresh folder below the session's checkpoint folder."""
     return write_index(docs, cluster.fresh_folder(docs.sparkSession), "create", buckets)

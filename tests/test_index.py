@@ -99,3 +99,25 @@ def test_buckets_follow_the_size_of_the_texts(spark, tmp_path, monkeypatch):
     index = write_index(docs(spark, rows), str(tmp_path / "i"))
     assert index.buckets == 10
     assert [d for q, _, d, _ in ranks(index) if q == 1] == list(range(10))
+
+
+def test_compact_and_drop(spark, tmp_path):
+    from rankloom import compact, drop_index
+
+    docs = spark.createDataFrame([(i, f"alpha beta {'gamma ' * (i % 5)}") for i in range(40)], "doc_id bigint, contents string")
+    small = write_index(docs.limit(0).unionByName(docs.filter("doc_id < 2")), str(tmp_path / "a"), "create", buckets=2)
+    grown = write_index(docs.filter("doc_id >= 2"), str(tmp_path / "a"), "append")
+    assert small.buckets == grown.buckets == 2
+    wide = compact(grown, str(tmp_path / "b"), buckets=8)
+    assert wide.postings.rdd.getNumPartitions() == 8
+    queries = spark.createDataFrame([(1, "gamma alpha")], "query_id int, text string")
+    model = Model("jm", 0.5)
+    ranked = [sorted(map(tuple, search(i, queries, model, 7).collect())) for i in (grown, wide)]
+    assert ranked[0] == ranked[1] and len(ranked[0]) == 7
+    once = write_index(docs, str(tmp_path / "c"), "create")
+    assert (once.doc_count, once.total_terms) == (wide.doc_count, wide.total_terms)
+    assert [r[-1] for r in sorted(map(tuple, search(once, queries, model, 7).collect()))] == [r[-1] for r in ranked[1]]
+    tables = lambda: {t.name for t in spark.catalog.listTables() if t.name.startswith("rankloom_")}
+    before = tables()
+    drop_index(wide)
+    assert len(before - tables()) == 2 and not (tmp_path / "b").exists()

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload.oracle import oracle_sql
+from workload.queries import queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -19,13 +21,14 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(entry.queries()) and set(oracle_sql()) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, SF)
-    cursor = db.execute(entry.oracle_sql()[name])
+    df = queries()[name](spark, SF)
+    cursor = db.execute(oracle_sql()[name])
     names = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(names)
     order = sorted(names)

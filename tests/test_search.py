@@ -27,7 +27,18 @@ def test_shuffled_query_side_gives_the_same(given, monkeypatch):
     index, queries = given
     expected = rows(search(index, queries, MODEL, 10))
     monkeypatch.setattr(cluster, "BROADCAST_BYTES", 0)
-    assert rows(search(index, queries, MODEL, 10)) == expected
+    spark = queries.sparkSession
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # a word of every document is spread over its pieces like any other
+        shuffled = search(index, queries, MODEL, 10)
+        text = plan(shuffled)
+        assert "BroadcastHashJoin" not in text and "piece" in text
+        assert "SortMergeJoin [term" in text or "ShuffledHashJoin [term" in text
+        assert rows(shuffled) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_named_terms_give_the_same(given, monkeypatch):
@@ -61,7 +72,7 @@ def test_sweep_plan(given):
 @pytest.mark.parametrize("pilot", [1, 8, 1_000_000])
 def test_sweep_rankings_equal_single_rankings(given, monkeypatch, pilot):
     index, queries = given
-    monkeypatch.setattr(tune, "PILOT", pilot)
+    monkeypatch.setattr(search_ops, "PILOT", pilot)
     swept = cluster.materialise(sweep_rankings(index, queries, "dir", 10))
     for param in (0.0, 2500.0):
         single = search(index, queries, Model("dir", param), 10)
@@ -128,3 +139,19 @@ def test_repeated_query_words_count(micro, spark):
     q = spark.createDataFrame([(1, "alpha"), (2, "alpha Alpha")], "query_id int, text string")
     best = {r.query_id: r.score for r in search(index, q, Model("tfidf"), 1).collect()}
     assert best[2] == pytest.approx(2 * best[1], abs=2e-6)
+
+
+def test_a_number_without_a_query_is_an_error(given):
+    _, queries = given
+    for which in ("99999", "99990-99999"):
+        with pytest.raises(ValueError, match="no query"):
+            select_queries(queries, which)
+
+
+def test_short_queries_keep_their_judgements(spark, tmp_path):
+    docs = [(1, "alpha beta here"), (2, "gamma delta eps zeta"), (3, "xalpha betax")]
+    asked = [(1, "alpha beta"), (2, "gamma"), (3, "gamma delta eps"), (4, "nowhere at all")]
+    for name, rows_, schema in (("documents", docs, "doc_id bigint, text string"), ("benchmark", asked, "item_id bigint, text string")):
+        spark.createDataFrame(rows_, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = rows(workload.verbatim_judgements(spark, str(tmp_path)))
+    assert got == [(1, 1), (1, 3), (2, 2), (3, 2)]

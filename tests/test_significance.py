@@ -38,14 +38,32 @@ def test_student_against_integration(spark):
         assert r.p == pytest.approx(t_tail(r.t, r.nu), abs=1e-7)
 
 
-def test_many_degrees_of_freedom_join_smoothly(spark):
-    got = spark.createDataFrame([(t, nu) for t in (0.5, 2.0, 4.0) for nu in (100_000, 100_001)],
+def log_tail(t, nu):
+    """log P(|T| >= t) by integrating the density from t on, scaled by its value at t."""
+    density = math.lgamma((nu + 1) / 2) - math.lgamma(nu / 2) - 0.5 * math.log(nu * math.pi)
+    start = -(nu + 1) / 2 * math.log1p(t * t / nu)
+    u = np.linspace(-40, 8, 400_001)  # x = t + e^u
+    x = t + np.exp(u)
+    inside = np.exp(-(nu + 1) / 2 * np.log1p(x * x / nu) - start + u)
+    return math.log(2) + density + start + math.log(np.trapezoid(inside, u))
+
+
+def test_small_values_are_kept(spark):
+    cases = [(t, nu) for t in (3.0, 10.0, 20.0, 30.0) for nu in (5, 100, 1000)] + [(21.0, 10 ** 4), (5.0, 10 ** 4)]
+    got = spark.createDataFrame(cases, "t double, nu bigint").select(
+        "t", "nu", student_two_sided(F.col("t"), F.col("nu")).alias("p")).collect()
+    for r in got:
+        assert math.log(r.p) == pytest.approx(log_tail(r.t, r.nu), abs=2e-8), (r.t, r.nu)
+
+
+def test_many_degrees_of_freedom_come_near_the_normal(spark):
+    got = spark.createDataFrame([(t, nu) for t in (0.5, 1.0, 2.0, 6.0) for nu in (10 ** 6, 10 ** 7)],
                                 "t double, nu bigint").select(
         "t", "nu", student_two_sided(F.col("t"), F.col("nu")).alias("p")).collect()
-    by_t = {}
     for r in got:
-        by_t.setdefault(r.t, []).append(r.p)
-    assert all(abs(x - y) < 1e-8 for x, y in by_t.values())
+        x = r.t  # first term of the expansion around the normal tail
+        near = math.erfc(x / math.sqrt(2)) + 2 * (x ** 3 + x) / (4 * r.nu) * math.exp(-x * x / 2) / math.sqrt(2 * math.pi)
+        assert r.p == pytest.approx(near, rel=1e-9)
 
 
 def test_normal(spark):
@@ -84,6 +102,16 @@ def test_many_pairs_at_once(spark):
         assert ts[p].p_value == pytest.approx(t_tail(t, len(d) - 1), abs=1e-6)
 
 
+def test_one_pair_is_ranked_in_many_tasks(spark):
+    rng = np.random.default_rng(4)
+    a, b = rng.random(3000), rng.random(3000)
+    got = compare(run(spark, a.tolist()), run(spark, b.tolist()), "wilcoxon", 0.05).first()
+    d = np.round(b - a, 9)
+    ranks = np.argsort(np.argsort(np.abs(d))) + 1
+    up = float(ranks[d > 0].sum())
+    assert got.statistic == pytest.approx(min(up, 3000 * 3001 / 2 - up))
+
+
 def test_equal_and_shifted_runs(spark):
     a = run(spark, [0.5, 0.25, 0.75])
     same = compare(a, a, "t", 0.05).first()
@@ -99,6 +127,11 @@ def test_misuse(spark):
             compare(a, b, test, alpha)
     with pytest.raises(Exception, match="only one run has query"):
         compare(a, run(spark, B[:4]), "t", 0.05).collect()
+    twice = a.unionByName(a.filter("query_id = 2"))
+    for x, y in ((twice, b), (b, twice), (twice, twice)):
+        for test in ("t", "wilcoxon"):
+            with pytest.raises(Exception, match="a run repeats query 2"):
+                compare(x, y, test, 0.05).count()
     with pytest.raises(Exception, match="at least"):
         compare(run(spark, A[:1]), run(spark, B[:1]), "t", 0.05).collect()
     with pytest.raises(Exception, match="at least"):

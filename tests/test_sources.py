@@ -45,6 +45,43 @@ def test_file_split_over_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("eol", ["\n", "\r\n"])
+def test_both_line_endings_split_over_tasks(spark, tmp_path, eol):
+    records = [(i, f"text of {i} " + "x" * (i % 97)) for i in range(2000)]
+    path = tmp_path / "documents.txt"
+    path.write_bytes("".join(f"{i}\n{t}\n   /\n" for i, t in records).replace("\n", eol).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4093b")
+    try:
+        df = read_corpus(spark, str(path))
+        assert df.rdd.getNumPartitions() > 10
+        assert rows(df) == [(i, t + "\n") for i, t in records]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_windows_queries_and_judgements(spark, tmp_path):
+    for name, text in (("q", "1\r\nTWO\r\nWORDS\r\n/\r\n"), ("j", "1\r\n 10 20\r\n   /\r\n2\r\n7\r\n   /")):
+        (tmp_path / name).write_bytes(text.encode())
+    assert rows(read_queries(spark, str(tmp_path / "q"))) == [(1, "TWO WORDS")]
+    assert rows(read_qrels(spark, str(tmp_path / "j"))) == [(1, 10), (1, 20), (2, 7)]
+
+
+def test_mixed_endings_and_broken_headers_are_errors(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.txt").write_bytes(b"1\na\n   /\n")
+    (folder / "b.txt").write_bytes(b"2\r\nb\r\n   /\r\n")
+    with pytest.raises(ValueError, match="line endings"):
+        read_corpus(spark, str(folder))
+    (tmp_path / "one").write_bytes(b"1\r\na\r\n   /\n2\r\nb\r\n   /\r\n")
+    with pytest.raises(Exception, match="line endings"):
+        read_corpus(spark, str(tmp_path / "one")).count()
+    broken = put(tmp_path, "documents.txt", "1\na\n   /\nx2\nb\n   /\n")
+    with pytest.raises(Exception, match="begins with no number: x2"):
+        read_corpus(spark, broken).count()
+
+
 def test_queries(spark, tmp_path):
     path = put(tmp_path, "queries.txt", "1\nMEASUREMENT OF\nDIELECTRIC\n/\n2\nword\n/\n/\n")
     assert rows(read_queries(spark, path)) == [(1, "MEASUREMENT OF DIELECTRIC"), (2, "word")]

@@ -55,8 +55,13 @@ def test_empty_policies(micro):
     model = Model("jm", 0.5)
     include = {r.query_id: r.value for r in evaluate(index, queries, qrels, model, 3, "MAP", "include").collect()}
     assert math.isnan(include[3]) and set(include) == {1, 2, 3}
-    with pytest.raises(Exception, match="no relevant document"):
-        evaluate(index, queries, qrels, model, 3, "MAP", "error").collect()
+    for metric in ("P", "R", "MAP"):
+        failing = evaluate(index, queries, qrels, model, 3, metric, "error")
+        for use in (failing.collect, failing.count, failing.select("query_id").collect):
+            with pytest.raises(Exception, match="no relevant document"):
+                use()
+    judged = queries.filter("query_id < 3")
+    assert evaluate(index, judged, qrels, model, 3, "P", "error").count() == 2
     with pytest.raises(ValueError):
         evaluate(index, queries, qrels, model, 3, "MAP", "drop")
 

@@ -2,9 +2,9 @@
 
 Corpus: ``documents``. Queries: ``benchmark``. Two judgement sets: *verbatim*, the
 documents that hold a query's text word for word (a few per query, for evaluation),
-and *labelled*, the documents of quality 1 in ``labels`` that hold a query's first
-word (many per query, for tuning, feedback and significance). All run over the whole
-tables.
+and *labelled*, the documents of quality 1 in ``labels`` that hold a query's rarest
+word (for tuning, feedback and significance). Training queries are the lower half of the
+range of query ids, test queries the upper half. All run over the whole tables.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from rankloom.plans import compare as compare_plan
 CUT = 10
 JM, DIR, TFIDF = rl.Model("jm", 0.5), rl.Model("dir", 2500.0), rl.Model("tfidf")
 MODELS = {"jm": JM, "dir": DIR, "tfidf": TFIDF}
-TRAIN, TEST = "0-19", "20-39"
 SELECTED = "5-24"
 ALPHA = 0.05
 
@@ -62,7 +61,8 @@ def verbatim_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(query_id, doc_id)`` of documents that hold a query's text word for word.
 
     Such a document holds every inner word of the query (the outermost ones might be
-    glued to other text), so only the documents with its rarest inner word are read.
+    glued to other text), so only the documents with its rarest inner word are read. A query
+    without an inner word is looked for in all texts.
     """
     ix, queries = index(spark, sf_dir), benchmark(spark, sf_dir)
     words = queries.select("query_id", tokens("text").alias("words")).select(
@@ -76,8 +76,35 @@ def verbatim_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = search_ops.match(ix, rarest).select("query_id", "doc_key", "doc_id")
     # both sides are spread by document already; the texts are only streamed past
     held = ix.docs.select("doc_key", "contents").join(candidates.hint("shuffle_hash"), "doc_key")
-    return (held.join(queries, "query_id").filter(F.contains("contents", "text"))
+    long = (held.join(queries, "query_id").filter(F.contains("contents", "text"))
             .select("query_id", "doc_id"))
+    short = words_per_query(queries).filter("n_words < 3").select("query_id", "text")
+    size = short.agg(F.sum(F.octet_length("text") + cluster.ROW_BYTES)).first()[0] or 0
+    if size == 0:
+        return long
+    if size > cluster.BROADCAST_BYTES:
+        raise ValueError("too many queries of one or two words")
+    return long.unionByName(ix.docs.select("doc_id", "contents").join(
+        F.broadcast(short), F.contains("contents", "text")).select("query_id", "doc_id"))
+
+
+def words_per_query(queries: DataFrame) -> DataFrame:
+    return queries.withColumn("n_words", F.size(tokens("text")))
+
+
+def rarest_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(query_id, text)``: the word of each query that the fewest documents hold."""
+    words = term_ops.query_terms(benchmark(spark, sf_dir))
+    stats = index(spark, sf_dir).term_stats.groupBy("term").agg(F.sum("df").alias("df"))
+    return words.join(stats, "term").groupBy("query_id").agg(
+        F.min_by("term", F.struct("df", "term")).alias("text"))
+
+
+def halves(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The lower and the upper half of the range of query ids."""
+    low, high = benchmark(spark, sf_dir).agg(F.min("query_id"), F.max("query_id")).first()
+    middle = (low + high) // 2
+    return f"{low}-{middle}", f"{middle + 1}-{high}"
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,10 +113,8 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = benchmark(spark, sf_dir).select(
-        "query_id", F.get(tokens("text"), F.lit(0)).alias("text"))
     good = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1").select("doc_id")
-    return (search_ops.match(index(spark, sf_dir), first).select("query_id", "doc_id")
+    return (search_ops.match(index(spark, sf_dir), rarest_words(spark, sf_dir)).select("query_id", "doc_id")
             .join(good, "doc_id").select("query_id", "doc_id").distinct())
 
 
@@ -161,8 +186,10 @@ def appended_ranking(spark, sf_dir):
 
 
 def match(spark, sf_dir):
-    return search_ops.match(index(spark, sf_dir), benchmark(spark, sf_dir)).select(
-        "query_id", "term", "qtf", "doc_id", "tf", "doc_len", "df", "ctf")
+    """Per query word: the documents that hold it and its occurrences in them."""
+    return search_ops.match(index(spark, sf_dir), benchmark(spark, sf_dir)).groupBy(
+        "query_id", "term", "qtf", "df", "ctf").agg(
+        F.count("*").alias("n_matches"), F.sum("tf").alias("sum_tf"), F.sum("doc_len").alias("sum_doc_len"))
 
 
 def _ranked(model):
@@ -216,14 +243,14 @@ def _swept(kind, metric):
 
 
 def best_param(spark, sf_dir):
-    swept = rl.sweep(index(spark, sf_dir), rl.select_queries(benchmark(spark, sf_dir), TRAIN),
+    swept = rl.sweep(index(spark, sf_dir), rl.select_queries(benchmark(spark, sf_dir), halves(spark, sf_dir)[0]),
                      labelled(spark, sf_dir), "dir", CUT, "R")
     return rl.best_param(swept).select("param", places(F.col("mean")).alias("mean"))
 
 
 def _train_test(spark, sf_dir):
     return rl.train_test(index(spark, sf_dir), benchmark(spark, sf_dir),
-                         labelled(spark, sf_dir), "jm", CUT, "R", TRAIN, TEST)
+                         labelled(spark, sf_dir), "jm", CUT, "R", *halves(spark, sf_dir))
 
 
 def train_test(spark, sf_dir):
@@ -307,6 +334,23 @@ def corpus_source(spark, sf_dir):
     return rl.read_corpus(spark, path)
 
 
+def corpus_source_crlf(spark, sf_dir):
+    """The same collection with the other line ending."""
+    path = cluster.fresh_folder(spark)
+    records = documents(spark, sf_dir).select(
+        F.replace(F.concat_ws("\n", F.col("doc_id").cast("string"), "contents"), F.lit("\n"), F.lit("\r\n")))
+    records.write.option("lineSep", "\r\n   /\r\n").text(path)
+    return rl.read_corpus(spark, path)
+
+
+def eval_error_policy(spark, sf_dir):
+    """Queries without a judgement would be an error: those with one are evaluated so."""
+    qrels = judgements(spark, sf_dir)
+    judged = benchmark(spark, sf_dir).join(qrels.select("query_id").distinct(), "query_id", "left_semi")
+    values = rl.evaluate(index(spark, sf_dir), judged, qrels, DIR, CUT, "P", "error")
+    return values.select("query_id", places(F.col("value")).alias("value"))
+
+
 def query_source(spark, sf_dir):
     path = cluster.fresh_folder(spark)
     records = benchmark(spark, sf_dir).select(
@@ -335,7 +379,7 @@ def queries() -> dict:
              query_terms, select_queries, stored_postings, appended_ranking, match,
              relevance_flags, ranking_listing, first_relevant, eval_mean, best_param, train_test,
              test_report, sweep_table, feedback_contents, paired_t, wilcoxon,
-             significance_decision, corpus_source, query_source, judgement_source, results_source]
+             significance_decision, corpus_source, corpus_source_crlf, eval_error_policy, query_source, judgement_source, results_source]
     table = {f.__name__: f for f in plain}
     table["judgements"] = verbatim_judgements
     table["judgements_labelled"] = labelled_judgements
