@@ -39,5 +39,43 @@ FROM doc d LEFT JOIN hits h USING (k) LEFT JOIN items t USING (k)
 """
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BLANK_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+')"
+
+OP2 = f"""
+WITH RECURSIVE doc AS (SELECT doc_id, {BLANK_WORDS} AS ws FROM documents),
+item AS (
+  SELECT DISTINCT doc_id, list_slice(ws, i, i + least(5, len(ws)) - 1) AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM doc WHERE len(ws) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM item GROUP BY doc_id),
+both AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM item a JOIN item b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM both JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * both.n >= 75 * (x.n + y.n - both.n)),
+reach AS (SELECT a AS doc_id, a AS other FROM link UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other),
+low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
+       d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+FROM doc d LEFT JOIN size s USING (doc_id) LEFT JOIN low c USING (doc_id)
+"""
+
+OP8 = f"""
+WITH doc AS (SELECT doc_id, {BLANK_WORDS} AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(list_slice(ws, i, i + 50), ' ')) AS h
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 49)) AS i FROM doc WHERE len(ws) > 50)),
+met AS (SELECT h FROM win GROUP BY h HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT doc_id, i FROM win SEMI JOIN met USING (h)),
+begun AS (SELECT *, CAST(coalesce(i > lag(i) OVER w + 51, true) AS INTEGER) AS fresh
+          FROM hit WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+stretch AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM begun)
+SELECT doc_id, CAST(min(i) - 1 AS INTEGER) AS "start", CAST(max(i) + 50 AS INTEGER) AS "end",
+       CAST(max(i) - min(i) + 51 AS INTEGER) AS n_words
+FROM stretch GROUP BY doc_id, s
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_decontaminate": OP9}
+    return {"op2_neardup": OP2, "op8_suffixes": OP8, "op9_decontaminate": OP9}

@@ -35,7 +35,8 @@ def op1_winnow(spark, sf_dir):
 
 
 def op2_neardup(spark, sf_dir):
-    return neardup.link_documents(table(spark, sf_dir, "documents"))
+    return neardup.link_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_bpe(spark, sf_dir):
@@ -75,7 +76,8 @@ def op7_sharding(spark, sf_dir):
 
 
 def op8_suffixes(spark, sf_dir):
-    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "end", "n_words")
 
 
 def op9_decontaminate(spark, sf_dir):
