@@ -230,10 +230,9 @@ def confirmed(docs: DataFrame, pairs: DataFrame, threshold: int, size: int) -> D
     """
     spark = docs.sparkSession
     many = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    salts = pairs.join(many, "a").select(
-        F.col("a").alias("lead"), F.col("b").alias("node"),
-        F.pmod(F.xxhash64("b"), F.floor(F.col("n") / GROUP_MEMBERS) + 1).cast("int").alias("salt"))
-    needs = salts.unionByName(salts.select("lead", F.col("lead").alias("node"), "salt").distinct())
+    salt = F.pmod(F.xxhash64("b"), F.floor(F.col("n") / GROUP_MEMBERS) + 1).cast("int")
+    needs = pairs.join(many, "a").select(
+        F.col("a").alias("lead"), salt.alias("salt"), F.explode(F.array("a", "b")).alias("node")).distinct()
     # the groups of one set: no more than its partners, which the forest bounds
     wanted = cluster.materialise(
         needs.groupBy("node").agg(F.collect_list(F.struct("lead", "salt")).alias("targets")))
@@ -271,19 +270,15 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = confirmed(source, first, threshold, size)
     labels = cluster.materialise(components(links))
 
-    def across(labels: DataFrame) -> DataFrame:
+    def across() -> DataFrame:
         a = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
         b = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
         return (pairs.join(a, "a", "left").join(b, "b", "left")
-                .select("a", "b", "prefixes", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+                .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
                 .filter("ca <> cb"))
 
-    # then the likeliest candidate between any two components, then all that is left
-    between = across(labels).groupBy(F.least("ca", "cb").alias("x"), F.greatest("ca", "cb").alias("y")).agg(
-        F.max_by(F.struct("a", "b"), F.struct("prefixes", "a", "b")).alias("best"))
-    links = links.unionByName(confirmed(source, between.select("best.*").join(first, ["a", "b"], "left_anti"), threshold, size))
-    labels = cluster.materialise(components(links))
-    links = links.unionByName(confirmed(source, across(labels).select("a", "b"), threshold, size))
+    # of what is left, the candidates between different components
+    links = links.unionByName(confirmed(source, across().select("a", "b"), threshold, size))
     labels = components(links).withColumnRenamed("node", "class_id")
 
     members = profiled.drop("signature").join(classes, key, "left")
