@@ -231,8 +231,9 @@ def confirmed(docs: DataFrame, pairs: DataFrame, threshold: int, size: int) -> D
     spark = docs.sparkSession
     many = pairs.groupBy("a").agg(F.count("*").alias("n"))
     salt = F.pmod(F.xxhash64("b"), F.floor(F.col("n") / GROUP_MEMBERS) + 1).cast("int")
-    needs = pairs.join(many, "a").select(
-        F.col("a").alias("lead"), salt.alias("salt"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    salts = cluster.materialise(pairs.join(many, "a").select(F.col("a").alias("lead"), "b", salt.alias("salt")))
+    needs = salts.select("lead", "salt", F.col("b").alias("node")).unionByName(
+        salts.select("lead", "salt", F.col("lead").alias("node")).distinct())
     # the groups of one set: no more than its partners, which the forest bounds
     wanted = cluster.materialise(
         needs.groupBy("node").agg(F.collect_list(F.struct("lead", "salt")).alias("targets")))
@@ -263,7 +264,7 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pairs = cluster.materialise(forest_candidates(cluster.materialise(heads)))
 
     # the likeliest partners of each class, as many as connect most of a group
-    ways = pairs.select("a", "b", "prefixes", F.explode(F.array("a", "b")).alias("of"))
+    ways = pairs.withColumn("of", F.col("a")).unionByName(pairs.withColumn("of", F.col("b")))
     order = Window.partitionBy("of").orderBy(F.desc("prefixes"), "a", "b")
     best = ways.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= LIKELY)
     first = cluster.materialise(best.select("a", "b").distinct())
@@ -278,7 +279,8 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 .filter("ca <> cb"))
 
     # of what is left, the candidates between different components
-    links = links.unionByName(confirmed(source, across().select("a", "b"), threshold, size))
+    left = cluster.materialise(across().select("a", "b"))
+    links = links.unionByName(confirmed(source, left, threshold, size))
     labels = components(links).withColumnRenamed("node", "class_id")
 
     members = profiled.drop("signature").join(classes, key, "left")
