@@ -48,12 +48,6 @@ def tokens(text: Column | str) -> Column:
         lambda w: F.when(F.length(w) <= MAX_WORD, F.array(w)).otherwise(_pieces(w))))
 
 
-def has_token(text: Column | str) -> Column:
-    """Whether ``tokens`` would find anything, without listing it."""
-    column = F.col(text) if isinstance(text, str) else text
-    return column.rlike(rf"{_START}|[{IDEOGRAPH}]")
-
-
 def quantised_length(length: Column) -> Column:
     """A document length as one byte keeps it: exact below 40, then four leading bits above 24."""
     over = length - 24
