@@ -14,6 +14,8 @@ whole. A column of the input called ``lang_pred`` or ``score`` is replaced.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,9 @@ HELD_NGRAMS = 500_000
 # Profiles go to every executor: 300 rows per language, so this many are about 25 MB.
 MOST_LANGUAGES = 5_000
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# Letters are what Unicode calls so (category L): the characters of words without number signs as in "½ Ⅷ ²".
+_NUMBER_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and unicodedata.category(c)[0] == "N")
+LETTERS = re.compile(rf"[^\W\d_{_NUMBER_SIGNS}]+")
 STEP_BYTES = 1 << 20
 
 

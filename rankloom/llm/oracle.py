@@ -48,12 +48,12 @@ item AS (
   SELECT DISTINCT doc_id, list_slice(ws, i, i + least(5, len(ws)) - 1) AS shingle
   FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM doc WHERE len(ws) > 0)),
 size AS (SELECT doc_id, count(*) AS n FROM item GROUP BY doc_id),
-both AS (
+met AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
   FROM item a JOIN item b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
 link AS (
-  SELECT a, b FROM both JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
-  WHERE 100 * both.n >= 75 * (x.n + y.n - both.n)),
+  SELECT a, b FROM met JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * met.n >= 75 * (x.n + y.n - met.n)),
 reach AS (SELECT a AS doc_id, a AS other FROM link UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other),
 low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,

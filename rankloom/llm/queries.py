@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +13,8 @@ SHARDS = 24
 
 
 def vocabulary_path() -> str:
-    """Where the vocabulary file is; the folder can be named in ``TOKENIZER_DIR``."""
-    return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "word_bpe_49k.json")
+    """Where the installed package of public vocabularies keeps the file."""
+    return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

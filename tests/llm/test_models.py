@@ -1,5 +1,8 @@
 """Language identification, toxicity and sharding: held-out accuracy, laws and edge cases."""
 
+import re
+import sys
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -33,6 +36,45 @@ def test_profiles_against_plain_counts(spark):
     assert {tuple(r) for r in langid.learn_profiles(docs).collect()} == want
 
 
+def test_letters_are_category_l(spark):
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    assert set("".join(langid.LETTERS.findall(every))) == {c for c in every if unicodedata.category(c)[0] == "L"}
+    learned = spark.createDataFrame([("la casa", "es"), ("the house", "en")], "text string, lang string")
+    docs = spark.createDataFrame([(1, "½ ²"), (2, "Ⅷ ٣ 五"), (3, "Ⅷ ٣ _")], "doc_id bigint, text string")
+    rows = langid.identify(docs, langid.learn_profiles(learned)).collect()
+    assert [r.lang_pred == "und" for r in rows] == [True, False, True]
+
+
+def test_predictions_against_plain_distances(spark):
+    docs = queries.table(spark, SF, "documents").select("doc_id", "text", "lang")
+    plain = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    code = lambda g: [ord(c) for c in g]
+
+    def grams(t):
+        s = f" {' '.join(plain(t))} " if plain(t) else ""
+        return Counter(g for n in (1, 2, 3) for g in (s[i:i + n] for i in range(len(s) - n + 1)) if g != " " and g[1:2] != " " or len(g) == 2)
+
+    def profile(counts):
+        return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], len(x[0]), code(x[0])))[:langid.PROFILE]]
+
+    rows = docs.collect()
+    counts = defaultdict(Counter)
+    for r in rows:
+        if r.lang and not held(r.doc_id):
+            counts[r.lang].update(grams(r.text))
+    places = {lang: {g: i for i, g in enumerate(profile(c))} for lang, c in sorted(counts.items())}
+    want = {}
+    for r in rows:
+        own = profile(grams(r.text))
+        apart = {lang: sum(abs(i - p[g]) if g in p else langid.PROFILE for i, g in enumerate(own)) for lang, p in places.items()}
+        best = min(sorted(apart), key=apart.get)
+        want[r.doc_id] = (best, 1 - apart[best] / (langid.PROFILE * len(own))) if own else ("und", 0.0)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in queries.op10_langid(spark, SF).collect()}
+    assert {i: g[0] for i, g in got.items()} == {i: w[0] for i, w in want.items()}
+    assert all(abs(got[i][1] - want[i][1]) < 1e-12 for i in want)
+
+
 def test_language_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "12 !?", 1), (4, "la casa", 1), (4, "la casa", 1), (5, "la " * 50_000, None)],
                                  "doc_id bigint, text string, score int")
