@@ -1 +1 @@
-"""Operators of a training-data pipeline: ten methods over document tables."""
+"""Operators of a training-data pipeline: thirteen methods over document tables."""

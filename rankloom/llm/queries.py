@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import bpe, decontaminate, langid, lm, neardup, pii, sharding, suffixes, toxicity, winnow
+from rankloom.llm import bpe, decontaminate, langid, lm, neardup, periodic, pii, sharding, suffixes, toxicity, winnow
 from rankloom.llm.common import fold_of
 
 SHARDS = 24
@@ -95,6 +98,31 @@ def op10_langid(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def _repeated_words(row: dict, n: int) -> np.ndarray | None:
+    """op12's rewritten texts: from some word on, one in ten repeats with a period."""
+    h = zlib.crc32(str("" if row["doc_id"] is None else row["doc_id"]).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    places = np.arange(n)
+    places[a:] = a + (places[a:] - a) % (1 + (n - a) // (3 + g % 8))
+    return places
+
+
+def op12_periodic(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.find_runs(docs, rewrite=_repeated_words, digest=True)
+    lines = F.transform("runs", lambda r: F.concat(
+        *(F.concat(r[c].cast("string"), F.lit(end)) for c, end in (("start", ","), ("length", ","), ("period", "\n")))))
+    best = F.get(F.array_sort("runs", periodic.by_power), F.lit(0))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        hex_digest(F.array_join(lines, "")).alias("runs_sha256"),
+        F.lower(F.hex("collapsed")).alias("collapsed_sha256"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # stands at the top of the repository and uses this module
 
@@ -106,4 +134,4 @@ def queries() -> dict:
 
     return {f.__name__: f for f in (
         op1_winnow, op2_neardup, op3_bpe, op4_lm, op5_pii, op6_toxicity, op7_sharding, op8_suffixes,
-        op9_decontaminate, op10_langid, pipeline)}
+        op9_decontaminate, op10_langid, op12_periodic, pipeline)}
