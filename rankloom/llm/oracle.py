@@ -76,6 +76,74 @@ SELECT doc_id, CAST(min(i) - 1 AS INTEGER) AS "start", CAST(max(i) + 50 AS INTEG
 FROM stretch GROUP BY doc_id, s
 """
 
+OP11 = f"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+line AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS ws FROM piece),
+words AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM line GROUP BY lang),
+sizes AS (SELECT unnest(range(1, 5)) AS k),
+gram AS (
+  SELECT lang, k, list_slice(ws, i, i + k - 1) AS g
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM line CROSS JOIN sizes WHERE len(ws) >= k)),
+f AS (SELECT lang, k, g, count(*) AS n FROM gram GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT * FROM f WHERE k > 1),
+cut AS (
+  SELECT c.lang, c.g, c.n AS a, x.n AS l, y.n AS r, s.k AS cut,
+         CAST(2000000::HUGEINT * c.n // (x.n + y.n) AS BIGINT) AS score
+  FROM cand c JOIN sizes s ON s.k < c.k
+  JOIN f x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, s.k)
+  JOIN f y ON y.lang = c.lang AND y.g = list_slice(c.g, s.k + 1, c.k)),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+inner_ AS (
+  SELECT lang, list_slice(g, i, i + s - 1) AS g, n
+  FROM (SELECT c.lang, c.g, c.n, z.k AS s, unnest(range(1, c.k - z.k + 2)) AS i FROM cand c JOIN sizes z ON z.k > 1 AND z.k < c.k)),
+around AS (SELECT lang, g, max(n) AS n FROM inner_ GROUP BY ALL),
+kept AS (
+  SELECT w.*, array_to_string(w.g, ' ') AS phrase FROM low w LEFT JOIN around o USING (lang, g)
+  WHERE o.n IS NULL OR 100 * o.n < 80 * w.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN words USING (lang) QUALIFY rank <= 2000
+"""
+
+OP13 = f"""
+WITH doc AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         md5(concat_ws('|', CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS digest FROM documents),
+src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         1.0::DOUBLE + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM doc GROUP BY source),
+ranked AS (
+  SELECT *, row_number() OVER o AS k, sum(3 * source_size) OVER o AS given, sum(w) OVER () - sum(w) OVER o AS shares,
+         sum(source_size) OVER () AS total
+  FROM src WINDOW o AS (ORDER BY source_size / w, source ROWS UNBOUNDED PRECEDING)),
+-- the least number of full sources whose rest leaves none beyond its limit
+tried AS (
+  SELECT 0 AS k, CAST(any_value(total) AS DOUBLE) AS rest, sum(w) AS shares FROM ranked
+  UNION ALL SELECT k, CAST(total - given AS DOUBLE), shares FROM ranked WHERE shares > 0),
+chosen AS (
+  SELECT k, rest, shares FROM tried t
+  WHERE NOT EXISTS (SELECT 1 FROM ranked r WHERE r.k > t.k AND t.rest * r.w / t.shares > 3 * r.source_size)
+  ORDER BY k LIMIT 1),
+target AS (
+  SELECT r.source, r.source_size, r.w,
+         CASE WHEN r.k <= c.k THEN CAST(3 * r.source_size AS DOUBLE) ELSE c.rest * r.w / c.shares END AS target
+  FROM ranked r CROSS JOIN chosen c),
+placed AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, t.w, CAST(round(t.target) AS BIGINT) AS quota,
+         CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS s
+  FROM doc d JOIN target t ON t.source IS NOT DISTINCT FROM d.source),
+given AS (
+  SELECT *, greatest(0, least(size, quota - s)) AS p0, greatest(0, least(size, quota - source_size - s)) AS p1,
+         greatest(0, least(size, quota - 2 * source_size - s)) AS p2,
+         s / greatest(quota, 1)::DOUBLE * w AS area, CASE w WHEN 1 THEN 0.5 WHEN 2 THEN 0.0 ELSE -0.5 END AS slope FROM placed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(p0 + p1 + p2 AS BIGINT) AS taken,
+       CAST((p0 > 0)::INT + (p1 > 0)::INT + (p2 > 0)::INT AS BIGINT) AS n_passes,
+       CASE WHEN p0 = 0 THEN NULL WHEN area <= 0 THEN 0.0 ELSE least(1.0, area * 2.0 / (
+         w * (1 - slope) + sqrt(greatest(0.0, (w * (1 - slope)) * (w * (1 - slope)) + area * (2 * (w * (1 + slope) - w * (1 - slope))))))) END AS position
+FROM given
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_neardup": OP2, "op8_suffixes": OP8, "op9_decontaminate": OP9}
+    return {"op2_neardup": OP2, "op8_suffixes": OP8, "op9_decontaminate": OP9, "op11_phrases": OP11, "op13_curriculum": OP13}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import bpe, decontaminate, langid, lm, neardup, periodic, pii, sharding, suffixes, toxicity, winnow
+from rankloom.llm import bpe, curriculum, decontaminate, langid, lm, neardup, periodic, phrases, pii, sharding, suffixes, toxicity, winnow
 from rankloom.llm.common import fold_of
 
 SHARDS = 24
@@ -98,6 +98,11 @@ def op10_langid(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_phrases(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    return phrases.mine_phrases(docs).drop("cut")
+
+
 def _repeated_words(row: dict, n: int) -> np.ndarray | None:
     """op12's rewritten texts: from some word on, one in ten repeats with a period."""
     h = zlib.crc32(str("" if row["doc_id"] is None else row["doc_id"]).encode())
@@ -123,6 +128,16 @@ def op12_periodic(spark, sf_dir):
         F.lower(F.hex("collapsed")).alias("collapsed_sha256"))
 
 
+# Sources weigh 1, 2, 3 and so on: the first kind grows over the training, the third one fades.
+CURRICULUM = (curriculum.ramp(1.0, 0.5), curriculum.ramp(2.0), curriculum.ramp(3.0, -0.5))
+
+
+def op13_curriculum(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return curriculum.by_first_position(curriculum.mix(docs, CURRICULUM)).select(
+        "doc_id", "size", "source_size", "target", "taken", F.size("passes").cast("bigint").alias("n_passes"), "position")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # stands at the top of the repository and uses this module
 
@@ -134,4 +149,4 @@ def queries() -> dict:
 
     return {f.__name__: f for f in (
         op1_winnow, op2_neardup, op3_bpe, op4_lm, op5_pii, op6_toxicity, op7_sharding, op8_suffixes,
-        op9_decontaminate, op10_langid, op12_periodic, pipeline)}
+        op9_decontaminate, op10_langid, op11_phrases, op12_periodic, op13_curriculum, pipeline)}
