@@ -1,5 +1,6 @@
 """Ranked text retrieval and its evaluation as Spark DataFrame jobs."""
 
+from rankloom.cluster import drop_scratch
 from rankloom.functions.models import Model
 from rankloom.functions.text import tokens
 from rankloom.operators.metrics import first_relevant, mean_value
@@ -15,7 +16,7 @@ from rankloom.sources.index import (Index, build_index, compact, drop_index, ope
 from rankloom.sources.results import read_results, write_results
 
 __all__ = [
-    "Index", "Model", "best_param", "build_index", "compact", "compare", "drop_index", "evaluate", "evaluate_ranking",
+    "Index", "Model", "best_param", "build_index", "compact", "compare", "drop_index", "drop_scratch", "evaluate", "evaluate_ranking",
     "feedback", "first_relevant", "mean_value", "open_index", "query_terms", "read_corpus",
     "read_qrels", "read_queries", "read_results", "search", "select_queries", "show_ranking",
     "sweep", "sweep_table", "test_report", "tokens", "train_test", "with_contents",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,29 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_rankloom"
 
 
+# What an application has put into scratch folders and the catalog, and how to remove it.
+_made: dict[str, list[Callable[[], None]]] = {}
+
+
+def at_drop(spark: SparkSession, remove: Callable[[], None]) -> None:
+    """``drop_scratch`` will call ``remove``."""
+    _made.setdefault(spark.sparkContext.applicationId, []).append(remove)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Removes every scratch table and scratch index of this application.
+
+    To be called when no result that was computed from them is to be read any more: results are
+    read lazily, so nothing here can know by itself when that is.
+    """
+    for remove in reversed(_made.pop(spark.sparkContext.applicationId, [])):
+        remove()
+
+
 def fresh_folder(spark: SparkSession) -> str:
-    return f"{scratch_folder(spark)}/rankloom-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/rankloom-{uuid.uuid4().hex}"
+    at_drop(spark, lambda: remove_folder(spark, path))
+    return path
 
 
 def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:

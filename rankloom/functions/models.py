@@ -27,6 +27,11 @@ class Model:
                 self.param is not None and 0 <= self.param and math.isfinite(self.param)):
             raise ValueError("dir needs a mu of 0 or more")
 
+    @property
+    def flat(self) -> bool:
+        """Whether every match scores 0, so that documents rank by order of insertion."""
+        return (self.kind, self.param) in (("jm", 1), ("dir", 0))
+
     def term_score(self) -> Column:
         """Uses columns ``tf``, ``doc_len``, ``p`` and ``idf`` of a matched posting."""
         if self.kind == "jm":
@@ -35,6 +40,21 @@ class Model:
             return _dirichlet(float(self.param))
         return F.sqrt("tf") * F.pow("idf", F.lit(float(IDF_POWER))) / F.sqrt("doc_len")
 
+    def bound(self) -> Column:
+        """What ``term_score`` cannot exceed, from ``max_tf``, ``min_len``, ``max_share`` (of tf over
+        doc_len), ``p`` and ``idf`` of a term; all three models only grow with a term's share."""
+        if self.kind == "jm":
+            lam = float(self.param)
+            return F.log(1.0 + F.lit(1.0 - lam) * F.col("max_share") / (F.lit(lam) * F.col("p")))
+        if self.kind == "dir":
+            mu = float(self.param)
+            if mu == 0:
+                return F.lit(0.0)
+            # the shortest document that the greatest tf fits into
+            least = F.greatest(F.col("min_len"), F.col("max_tf") / F.col("max_share"))
+            return F.greatest(F.lit(0.0), F.log((F.lit(mu) + F.col("max_tf") / F.col("p")) / (least + F.lit(mu))))
+        return F.sqrt("max_share") * F.pow("idf", F.lit(float(IDF_POWER)))
+
 
 def _jelinek_mercer(lam: float) -> Column:
     seen = (F.lit(1.0 - lam) * F.col("tf")) / F.col("doc_len")

@@ -1,11 +1,19 @@
-"""Match, score, rank and list."""
+"""Match, score, rank and list.
+
+Every batch of an index is matched and summed where its postings lie, as no document is in
+two of them. Where a query set has very many matches, most of them are never summed: a few
+rare terms rank some documents first, whose k-th best score no document of the result is
+below; the terms that cannot reach it together are then only looked up in documents that
+the other terms bring near enough. Bounds are exact, so the ranking is the same.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom import cluster
@@ -19,12 +27,16 @@ from rankloom.sources.index import Index
 DOC = ("batch_id", "doc_key", "doc_id")
 # Up to this many different values a scan filter names each one.
 PUSHED_TERMS = 64
-# Share of the documents that is ranked first, to bound what the others must reach.
-PILOT = 8
 PUSHED_DOCS = 1000
-# When the query side is shuffled, a term's postings are split into a piece for every so many
-# buckets of the index, and this many at least.
-BUCKETS_PER_PIECE, LEAST_PIECES = 8, 32
+# When the query side is shuffled, a term with more postings than this is split into pieces;
+# no more terms than this are ever split.
+PIECE_POSTINGS, MOST_SPLIT = 1_000_000, 500_000
+# Matches per bucket, at most, that are all summed and sorted.
+FEW_MATCHES = 20_000_000
+# Matches per query of the rare terms that set the bound.
+PILOT_MATCHES = 100_000
+# Sums in another order, and rounding, may differ by less than this.
+SLACK = 5e-6
 
 
 @dataclass(frozen=True)
@@ -32,55 +44,76 @@ class QuerySide:
     """The terms of a query set with their statistics, and how to join them to postings."""
 
     weighted: DataFrame
-    postings: DataFrame
+    parts: tuple[DataFrame, ...]  # postings of each batch
     rows: int
     small: bool
-    pieces: int
+    few: bool  # matches
+    step: int = PIECE_POSTINGS
 
-    def match(self) -> DataFrame:
+    def split_terms(self) -> DataFrame:
+        """``(term, pieces)`` of the terms that are split, each in proportion to its postings."""
+        return self.weighted.filter(F.col("df") >= self.step).select(
+            "term", F.expr(f"cast(1 + df div {self.step} as int)").alias("pieces")).distinct()
+
+    def asked(self) -> DataFrame:
+        """The query side once per piece of its term: at most twice its rows."""
+        return self.weighted.withColumn("piece", F.explode(F.expr(f"sequence(0, cast(df div {self.step} as int))")))
+
+    def match_part(self, postings: DataFrame) -> DataFrame:
         if self.small:
-            return self.postings.join(F.broadcast(self.weighted), "term")
-        pieces = F.explode(F.sequence(F.lit(0), F.lit(self.pieces - 1)))
-        piece = F.pmod(F.xxhash64("doc_key"), F.lit(self.pieces)).cast("int")
-        return (self.postings.withColumn("piece", piece)
-                .join(self.weighted.withColumn("piece", pieces), ["term", "piece"]).drop("piece"))
+            return postings.join(F.broadcast(self.weighted), "term")
+        piece = F.coalesce(F.pmod(F.xxhash64("doc_key"), F.col("pieces")), F.lit(0)).cast("int")
+        pieces = postings.join(F.broadcast(self.split_terms()), "term", "left").withColumn("piece", piece)
+        return pieces.drop("pieces").join(self.asked(), ["term", "piece"]).drop("piece")
+
+    def match(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, map(self.match_part, self.parts))
 
 
 def query_side(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_id",)) -> QuerySide:
     """Sizes the query set, and finds its terms' statistics in all batches of the index.
 
     While the query side is small it is broadcast: postings then stay where they are,
-    spread by document. A larger one is shuffled with the postings, each term in
-    pieces that grow in number with the index, as the postings of a frequent term would
-    swamp one task.
+    spread by document. A larger one is shuffled with the postings. Terms with many
+    postings are then split into pieces in proportion, as they would swamp one task.
     """
     terms = query_terms(queries, keys)
     # words and bytes of the texts: upper bounds of the terms' rows and characters
     words, chars = queries.agg(F.sum(F.size(tokens("text"))), F.sum(F.octet_length("text"))).first()
     rows = words or 0
     small = (chars or 0) + rows * cluster.ROW_BYTES <= cluster.BROADCAST_BYTES
-    stats, postings = index.term_stats, index.postings
+    stats, parts = index.term_stats, [b.postings for b in index.batches]
     if 0 < rows <= PUSHED_TERMS:
         wanted = cluster.any_of(
             "term", [r.term for r in terms.select("term").distinct().collect()])
-        stats, postings = stats.filter(wanted), postings.filter(wanted)
+        stats, parts = stats.filter(wanted), [p.filter(wanted) for p in parts]
 
     # only the query's terms keep their statistics
     known = stats.join(F.broadcast(terms) if small else terms, "term").select(
-        *keys, "term", "qtf", "df", "ctf")
-    if index.batches > 1:  # one row per term and batch: add them up
+        *keys, "term", "qtf", "df", "ctf", "max_tf", "min_len", "max_share")
+    if len(parts) > 1:  # one row per term and batch: add them up
         known = known.groupBy(*keys, "term", "qtf").agg(
-            F.sum("df").alias("df"), F.sum("ctf").alias("ctf"))
+            F.sum("df").alias("df"), F.sum("ctf").alias("ctf"), F.max("max_tf").alias("max_tf"),
+            F.min("min_len").alias("min_len"), F.max("max_share").alias("max_share"))
     weighted = known.select(
         "*", collection_probability(F.col("ctf"), index.total_terms).alias("p"),
         inverse_document_frequency(F.col("df"), index.doc_count).alias("idf"))
-    pieces = max(LEAST_PIECES, index.buckets // BUCKETS_PER_PIECE)
-    return QuerySide(weighted, postings, rows, small, pieces)
+    step = PIECE_POSTINGS
+    if not small:  # read again for its size and for both sides of the join
+        weighted = cluster.materialise(weighted)
+        n, matches = weighted.agg(F.count("*"), F.sum("df")).first()
+        step = max(step, -(-(matches or 0) // max(n, 1)), -(-index.total_terms // MOST_SPLIT))
+    # no term has more postings than there are documents
+    few = rows * index.doc_count <= FEW_MATCHES * index.buckets
+    return QuerySide(weighted, tuple(parts), rows, small, few, step)
+
+
+MATCHED = ("term", *DOC, "tf", "doc_len", "qtf", "df", "ctf", "p", "idf")
 
 
 def match(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_id",)) -> DataFrame:
     """Every posting of every query term, with the term's statistics."""
-    return query_side(index, queries, keys).match()
+    return query_side(index, queries, keys).match().select(*keys, *MATCHED)
 
 
 def scores(side: QuerySide, models: Sequence[Model],
@@ -92,7 +125,8 @@ def scores(side: QuerySide, models: Sequence[Model],
     """
     sums = [F.sum(F.col("qtf") * model.term_score()).alias(f"s{i}")
             for i, model in enumerate(models)]
-    return side.match().groupBy(*keys, *DOC).agg(*sums)
+    return reduce(DataFrame.unionByName, [
+        side.match_part(part).groupBy(*keys, *DOC).agg(*sums) for part in side.parts])
 
 
 def top_k(scored: DataFrame, k: int, keys: Sequence[str] = ("query_id",)) -> DataFrame:
@@ -106,35 +140,108 @@ def top_k(scored: DataFrame, k: int, keys: Sequence[str] = ("query_id",)) -> Dat
             .select(*keys, "rank", *DOC, "score"))
 
 
-def bounded_top_k(side: QuerySide, laid_out: Callable[[QuerySide], DataFrame], k: int,
-                  keys: Sequence[str], lists: int) -> DataFrame:
-    """``top_k`` of ``laid_out(side)``, most of whose rows are dropped before they are sorted.
+def _each(test, count: int, join=Column.__or__) -> Column:
+    return reduce(join, [test(i) for i in range(count)])
+
 
-    The ``k``-th best score among one ``PILOT``-th of the documents is a score that the
-    ``k``-th best of all documents reaches too, so rows below it cannot be in the result.
-    About ``PILOT * k`` rows of each of the ``lists`` rankings are left, however many
-    documents match; that also bounds what the last merge of a ranking gets.
+def contenders(side: QuerySide, models: Sequence[Model], k: int,
+               keys: Sequence[str] = ("query_id",)) -> DataFrame:
+    """``scores`` of at least the documents that are among the best ``k`` by some model.
+
+    The columns t0, t1, .. hold a score per model that no document of its result is below, or
+    null. Few matches are simply all summed.
+    """
+    n = len(models)
+    if side.few or not side.small or side.rows * n * cluster.ROW_BYTES > cluster.BROADCAST_BYTES:
+        every = scores(side, models, keys)
+        return every.select("*", *(F.lit(None).cast("double").alias(f"t{i}") for i in range(n)))
+    terms, limits = term_split(side, models, k, keys)
+    leading = replace(side, weighted=terms.filter("NOT spare"))
+    near = scores(leading, models, keys).join(F.broadcast(limits), list(keys), "left").filter(_each(
+        lambda i: F.col(f"t{i}").isNull() | (F.col(f"s{i}") + F.col(f"r{i}") >= F.col(f"t{i}")), n))
+    sums = [f"s{i}" for i in range(n)]
+    near = cluster.materialise(near.select(*keys, *DOC, *sums))
+
+    # the spare terms of those documents alone, which are moved to where their postings lie
+    asked = near.groupBy("doc_key").agg(F.collect_set(F.struct(*keys)).alias("asked")).hint("shuffle_hash")
+    rest = [part.join(asked, "doc_key").join(F.broadcast(terms.filter("spare")), "term")
+            .filter(F.array_contains("asked", F.struct(*keys)))
+            .select(*keys, *DOC, *((F.col("qtf") * m.term_score()).alias(f"s{i}") for i, m in enumerate(models)))
+            for part in side.parts]
+    whole = reduce(DataFrame.unionByName, [near, *rest]).groupBy(*keys, *DOC).agg(*(F.sum(c).alias(c) for c in sums))
+    return whole.join(F.broadcast(limits.drop(*(f"r{i}" for i in range(n)))), list(keys), "left").filter(
+        _each(lambda i: F.col(f"t{i}").isNull() | (F.col(f"s{i}") >= F.col(f"t{i}")), n))
+
+
+def term_split(side: QuerySide, models: Sequence[Model], k: int, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The query terms, ``spare`` or not, and per query the scores t0, .. to reach and what the
+    spare terms can add to each: r0, ..
+
+    A query's rarest terms rank the documents that hold them. Term scores are never
+    negative, so the k-th best of those sums is one that the k-th best document reaches. Terms
+    are spare as long as what they can add together, by the extremes of their postings, is less.
     """
-    every = laid_out(side)
-    # one bound per ranking: at most this many rows to broadcast
-    if side.small and lists * cluster.ROW_BYTES <= cluster.BROADCAST_BYTES:
-        some = side.postings.filter(F.pmod(F.xxhash64("doc_key"), F.lit(PILOT)) == 0)
-        pilot = top_k(laid_out(replace(side, postings=some)), k, keys)
-        bounds = pilot.filter(F.col("rank") == k).select(*keys, F.col("score").alias("bound"))
-        every = (every.join(F.broadcast(bounds), list(keys), "left")
-                 .filter(F.col("bound").isNull() | (F.col("score") >= F.col("bound"))).drop("bound"))
-    return top_k(every, k, keys)
+    n = len(models)
+    terms = cluster.materialise(side.weighted.select(
+        "*", *((F.col("qtf") * m.bound()).alias(f"u{i}") for i, m in enumerate(models))))
+    rarer = Window.partitionBy(*keys).orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("df").over(rarer), F.lit(0))
+    rare = terms.withColumn("before", before).filter((F.col("before") == 0) | (F.col("before") + F.col("df") <= PILOT_MATCHES))
+    summed = scores(replace(side, weighted=rare.drop("before")), models, keys)
+    ranked = summed.select(*keys, *DOC, F.posexplode(F.array(*(F.col(f"s{i}") for i in range(n)))).alias("model", "score"))
+    last = top_k(ranked, k, (*keys, "model")).filter(F.col("rank") == k)
+    reached = cluster.materialise(last.groupBy(*keys).agg(*(
+        (F.max(F.when(F.col("model") == i, F.col("score"))) - SLACK).alias(f"t{i}") for i in range(n))))
+
+    lower = Window.partitionBy(*keys).orderBy("u0", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = _each(lambda i: F.coalesce(F.sum(f"u{i}").over(lower) < F.col(f"t{i}"), F.lit(False)), n, Column.__and__)
+    split = cluster.materialise(terms.join(F.broadcast(reached), list(keys), "left").withColumn("spare", least).drop(
+        *(f"t{i}" for i in range(n))))
+    added = split.filter("spare").groupBy(*keys).agg(*(F.sum(f"u{i}").alias(f"r{i}") for i in range(n)))
+    limits = reached.join(added, list(keys), "left").fillna(0.0, [f"r{i}" for i in range(n)])
+    return split, limits
+
+
+def first_matched(side: QuerySide, k: int, keys: Sequence[str]) -> DataFrame:
+    """``(keys, document)`` of at least the first ``k`` matched documents in order of insertion.
+
+    The k-th of the documents that the rarest terms match bounds what has to be looked at.
+    """
+    place = F.struct("batch_id", "doc_id", "doc_key")
+    rarer = Window.partitionBy(*keys).orderBy("df", "term")
+    rarest = side.weighted.withColumn("nth", F.row_number().over(rarer)).filter("nth = 1").drop("nth")
+    order = Window.partitionBy(*keys).orderBy("place")
+    last = (replace(side, weighted=rarest).match().select(*keys, place.alias("place"))
+            .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == k).select(*keys, F.col("place").alias("last")))
+    near = [side.match_part(part).join(F.broadcast(last), list(keys), "left").filter(F.col("last").isNull() | (place <= F.col("last")))
+            .select(*keys, *DOC).distinct() for part in side.parts]
+    return reduce(DataFrame.unionByName, near)
+
+
+def scored_rows(side: QuerySide, models: Sequence[Model], labels: Sequence, k: int, keys: Sequence[str]) -> DataFrame:
+    """``(keys, document, label, score)`` of at least the best ``k`` of every model."""
+    flat = [label for m, label in zip(models, labels) if m.flat and not side.few and side.small]
+    sharp = [(m, label) for m, label in zip(models, labels) if label not in flat]
+    parts = []
+    if sharp:
+        scored = contenders(side, [m for m, _ in sharp], k, keys)
+        cells = [(F.lit(label), places(F.col(f"s{i}")), F.col(f"t{i}")) for i, (_, label) in enumerate(sharp)]
+        names = ("label", "score", "least")
+        if len(cells) == 1:
+            rows = scored.select(*keys, *DOC, *(c.alias(name) for c, name in zip(cells[0], names)))
+        else:  # only here the sums under several models become rows
+            rows = scored.select(*keys, *DOC, F.stack(F.lit(len(cells)), *sum(cells, ())).alias(*names))
+        parts.append(rows.filter(F.col("least").isNull() | (F.col("score") >= F.col("least"))).drop("least"))
+    if flat:
+        parts.append(first_matched(side, k, keys).select(*keys, *DOC, F.explode(F.array(*map(F.lit, flat))).alias("label"),
+                                                         F.lit(0.0).alias("score")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def search(index: Index, queries: DataFrame, model: Model, k: int,
            keys: Sequence[str] = ("query_id",)) -> DataFrame:
     """Ranking ``(keys, rank, batch_id, doc_key, doc_id, score)`` of a whole query set."""
-    side = query_side(index, queries, keys)
-
-    def laid_out(side: QuerySide) -> DataFrame:
-        return scores(side, [model], keys).select(*keys, *DOC, places(F.col("s0")).alias("score"))
-
-    return bounded_top_k(side, laid_out, k, keys, side.rows)
+    return top_k(scored_rows(query_side(index, queries, keys), [model], [0], k, keys), k, keys)
 
 
 def stored_documents(index: Index, ranking: DataFrame) -> DataFrame:

@@ -45,6 +45,13 @@ def term_stats(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("ctf"))
 
 
+def bounded_term_stats(postings: DataFrame) -> DataFrame:
+    """A3 with the extremes of a term's postings, from which models bound what it can score."""
+    return postings.groupBy("term").agg(
+        F.count("*").alias("df"), F.sum("tf").alias("ctf"), F.max("tf").alias("max_tf"),
+        F.min("doc_len").alias("min_len"), F.max(F.col("tf") / F.col("doc_len")).alias("max_share"))
+
+
 def collection_stats(lengths: DataFrame) -> DataFrame:
     """A4: one row from A2's table."""
     return lengths.agg(F.count_if(F.col("n_tokens") > 0).alias("doc_count"),

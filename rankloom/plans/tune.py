@@ -11,7 +11,7 @@ from rankloom import cluster
 from rankloom.functions.models import Model
 from rankloom.functions.numbers import places
 from rankloom.operators.metrics import metric_column, metrics, mean_value, relevant_counts
-from rankloom.operators.search import DOC, QuerySide, bounded_top_k, flag_relevant, query_side, scores
+from rankloom.operators.search import flag_relevant, query_side, scored_rows, top_k
 from rankloom.operators.terms import select_queries
 from rankloom.plans.evaluate import evaluate
 from rankloom.sources.index import Index
@@ -36,18 +36,12 @@ def sweep_rankings(index: Index, queries: DataFrame, kind: str, k: int) -> DataF
     """The ranking of every query under every parameter, from one pass over the matches.
 
     A document's scores under all parameters are summed side by side; only the sums,
-    not the matches, are laid out as one row per parameter.
+    not the matches, are laid out as one row per parameter, and of many matches only the
+    sums that some ranking can hold.
     """
     params = _params(kind)
-    cells = [c for i, p in enumerate(params) for c in (F.lit(p), places(F.col(f"s{i}")))]
-    rows = F.stack(F.lit(len(params)), *cells).alias("param", "score")
-
-    def laid_out(side: QuerySide) -> DataFrame:
-        scored = scores(side, [Model(kind, p) for p in params])
-        return scored.select("query_id", *DOC, rows)
-
-    side = query_side(index, queries)
-    return bounded_top_k(side, laid_out, k, KEYS, side.rows * len(params))
+    rows = scored_rows(query_side(index, queries), [Model(kind, p) for p in params], params, k, KEYS[:1])
+    return top_k(rows.withColumnRenamed("label", "param"), k, KEYS)
 
 
 def sweep(index: Index, queries: DataFrame, qrels: DataFrame, kind: str, cut: int,

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from rankloom import Model, cluster, evaluate_ranking, search, select_queries, show_ranking
 from rankloom.operators import search as search_ops
@@ -23,24 +24,74 @@ def given(spark):
     return workload.index(spark, SF), workload.benchmark(spark, SF)
 
 
-def test_shuffled_query_side_gives_the_same(given, monkeypatch):
+@pytest.mark.parametrize("piece", [1_000_000, 20])
+def test_shuffled_query_side_gives_the_same(given, monkeypatch, piece):
     index, queries = given
     expected = rows(search(index, queries, MODEL, 10))
     monkeypatch.setattr(cluster, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(search_ops, "PIECE_POSTINGS", piece)
     spark = queries.sparkSession
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        # a word of every document is spread over its pieces like any other
-        shuffled = search(index, queries, MODEL, 10)
-        text = plan(shuffled)
-        assert "BroadcastHashJoin" not in text and "piece" in text
+        # only the split terms' numbers of pieces are broadcast
+        side = search_ops.query_side(index, queries)
+        text = plan(side.match())
+        assert text.count("BroadcastHashJoin") == 1 and "piece" in text
         assert "SortMergeJoin [term" in text or "ShuffledHashJoin [term" in text
-        assert rows(shuffled) == expected
+        assert rows(search(index, queries, MODEL, 10)) == expected
+        asked, n = side.asked().count(), side.weighted.count()
+        pieces = {r.term: r.pieces for r in side.split_terms().collect()}
+        df = {r.term: r.df for r in side.weighted.collect()}
+        assert n <= asked <= 2 * n
+        assert pieces == {t: 1 + d // side.step for t, d in df.items() if d >= side.step}
+        assert bool(pieces) == (piece == 20) and (not pieces or asked > n)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("model", [Model("jm", 0.5), Model("jm", 1.0), MODEL, Model("dir", 0), Model("tfidf")])
+@pytest.mark.parametrize("pilot", [0, 60, 100_000])
+def test_bounded_ranking_gives_the_same(given, monkeypatch, model, pilot):
+    index, queries = given
+    expected = rows(search(index, queries, model, 10))
+    monkeypatch.setattr(search_ops, "FEW_MATCHES", 0)
+    monkeypatch.setattr(search_ops, "PILOT_MATCHES", pilot)
+    assert rows(search(index, queries, model, 10)) == expected
+
+
+def test_bounded_ranking_over_batches_and_keys(spark, tmp_path, monkeypatch):
+    from rankloom import write_index
+    docs = workload.documents(spark, SF)
+    for part, mode in ((0, "create"), (1, "append"), (2, "append")):
+        index = write_index(docs.filter(f"doc_id % 3 = {part}"), str(tmp_path / "i"), mode, buckets=1 + part)
+    rounds = workload.rounds(spark, SF)
+    expected = [rows(search(index, rounds, m, 7, ("query_id", "round"))) for m in (Model("tfidf"), Model("dir", 0))]
+    monkeypatch.setattr(search_ops, "FEW_MATCHES", 0)
+    assert [rows(search(index, rounds, m, 7, ("query_id", "round"))) for m in (Model("tfidf"), Model("dir", 0))] == expected
+
+
+def test_spare_terms_are_not_summed(given, monkeypatch):
+    """Of the matches of all terms, only those of the others, and of few documents, are left."""
+    index, queries = given
+    side = search_ops.query_side(index, queries)
+    model = Model("jm", 0.5)
+    terms, limits = search_ops.term_split(side, [model], 10, ("query_id",))
+    every, spare = terms.agg(F.sum("df")).first()[0], terms.filter("spare").agg(F.sum("df")).first()[0]
+    assert spare > every / 4
+    best = {(r.query_id, r.doc_key): r for r in search(index, queries, model, 10).collect()}
+    least = {r.query_id: r.t0 for r in limits.collect()}
+    assert all(r.score >= least[q] for (q, _), r in best.items() if least.get(q) is not None)
+
+
+@pytest.mark.parametrize("model", [Model("jm", 0.1), Model("jm", 0.9), Model("dir", 500), Model("dir", 0), Model("tfidf")])
+def test_no_posting_scores_above_its_term_bound(given, model):
+    index, queries = given
+    extremes = index.term_stats.select("term", "max_tf", "min_len", "max_share")
+    matched = search_ops.match(index, queries).join(extremes, "term")
+    assert matched.filter(model.term_score() > model.bound() + 1e-9).count() == 0
+
+
 def test_named_terms_give_the_same(given, monkeypatch):
     index, queries = given
     one = queries.filter("query_id = 3")
@@ -53,6 +104,7 @@ def test_named_terms_give_the_same(given, monkeypatch):
 def test_plan_moves_only_the_best_rows(given):
     index, queries = given
     text = plan(search(index, queries, MODEL, 10))
+    assert text.count("_postings_") == 1  # few matches: one reading
     main = text[:text.index("BroadcastExchange")]
     assert main.count("Exchange hashpartitioning") == 1  # after the group limit
     assert main.index("Exchange hashpartitioning(query_id") < main.index("WindowGroupLimit", main.index("Exchange"))
@@ -63,16 +115,16 @@ def test_plan_moves_only_the_best_rows(given):
 def test_sweep_plan(given):
     index, queries = given
     text = plan(sweep_rankings(index, queries, "jm", 10))
-    assert text.count("_postings_") == 2  # one pass for all parameters, and its pilot
+    assert text.count("_postings_") == 1  # one pass for all parameters
     main = text[:text.index("BroadcastExchange")]
     assert main.count("Exchange hashpartitioning") == 1
     assert "Python" not in text and "Cartesian" not in text and "NestedLoop" not in text
 
 
-@pytest.mark.parametrize("pilot", [1, 8, 1_000_000])
-def test_sweep_rankings_equal_single_rankings(given, monkeypatch, pilot):
+@pytest.mark.parametrize("few", [0, 20_000_000])
+def test_sweep_rankings_equal_single_rankings(given, monkeypatch, few):
     index, queries = given
-    monkeypatch.setattr(search_ops, "PILOT", pilot)
+    monkeypatch.setattr(search_ops, "FEW_MATCHES", few)
     swept = cluster.materialise(sweep_rankings(index, queries, "dir", 10))
     for param in (0.0, 2500.0):
         single = search(index, queries, Model("dir", param), 10)
