@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from rankloom import cluster
 
 # Documents of a source that are added up in one task, on average at most.
-STRETCH = 20_000
+STRETCH = 5_000
 MOST = 3
 
 
