@@ -2,12 +2,23 @@
 
 Folding lowers case, replaces look-alike letters of other scripts and digits or signs that
 stand for letters, and leaves words with single blanks between them. The lexicon holds whole
-words and beginnings of words; each one's weight is the log-odds of its documents being
-labelled toxic. Matches inside an exception phrase do not count. The weight of all matches,
-plain and per word of the text, makes the score by logistic regression.
+words and beginnings of words. Matches inside an exception phrase do not count, and a word
+counts by its weightiest match. The weight of all words, plain and per word of the
+text, makes the score by logistic regression.
+
+A term is toxic or neutral. A neutral one occurs in toxic documents as often as chance has it,
+a toxic one mostly there. Expectation-maximisation over all words finds how many
+are toxic, and with it each one's probability to be so, by its numbers of toxic and clean documents. Terms
+that are more probable than ``LEAST_BELIEF`` enter, weighted by their log-odds times that
+probability: with few labels only what is very frequent in toxic documents, with many also the
+rare. Beginnings of words are judged by the words that did not enter themselves. Phrases of a
+term and its neighbour that are mostly clean become exceptions. Copies would count as
+evidence many times: documents with the same sketch (the least hash of their 5-word shingles)
+share one vote.
 
 Lexicon and regression are fitted on a sample of at most ``SAMPLE`` labelled documents per
-label, the ones whose ids hash lowest; scoring reads every document whole.
+label, the ones whose ids hash lowest, read whole and written down once; all sizes follow from
+that. Scoring reads every document whole.
 
 Rows: a null or wordless text has no match and gets the score of one; labels that are null
 or without a document teach nothing; without labels of both kinds every score is 0. Repeated
@@ -18,25 +29,31 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from dataclasses import dataclass, field
+from math import exp, lgamma, log
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankloom import cluster
 from rankloom.llm.common import column_text, ship, slices, with_columns
 
 SAMPLE = 10_000
 # Beginnings of words from this to that length may enter the lexicon.
 SHORTEST, LONGEST = 4, 8
-# A term needs so many toxic documents, such a z-score, and at most this share of clean ones
-# against its share of toxic ones.
-LEAST_DOCUMENTS, LEAST_Z, IMPURITY = 5, 4.0, 0.05
-LEXICON_SIZE = 5_000
+# A toxic term's documents are toxic with a share of Beta(9, 1), a clean phrase's of Beta(1, 9).
+TOXIC_SHARE, CLEAN_SHARE = (9.0, 1.0), (1.0, 9.0)
+# Below this probability of being toxic a term is left out; its weight would be that small.
+LEAST_BELIEF = 0.05
+# Half of a document is added to either count, against certainty.
+PRIOR = 0.5
+# How strongly the regression's slopes are drawn towards 0.
+SHRINKAGE = 3.0
 HELD_TERMS = 400_000
 
 # Letters of other scripts that look like Latin ones.
@@ -47,9 +64,6 @@ LOOKALIKES = str.maketrans({
     "υ": "u", "χ": "x", "ω": "w", "ı": "i"})
 # Digits and signs that stand for letters.
 STAND_INS = str.maketrans("0134578@$!|", "oieastbasil")
-# Phrases in which a term is harmless.
-EXCEPTIONS = ("trash can", "trash cans", "trash bin", "clown fish", "loser bracket")
-
 _STOOD_IN = re.compile(r"[0134578@$!|]+(?=[^\W\d_])")
 _OTHER_SCRIPT = re.compile("[Ͱ-ӿı]")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -65,38 +79,98 @@ def fold(text: str | None) -> list[str]:
     return _WORD.findall(_STOOD_IN.sub(lambda m: m.group().translate(STAND_INS), text))
 
 
-def _terms(words: list[str]) -> set[str]:
-    """``" word "`` for every word, and ``" begin"`` for its beginnings."""
-    out = set()
-    for w in set(words):
-        out.add(f" {w} ")
-        for n in range(SHORTEST, min(LONGEST, len(w) - 1) + 1):
-            out.add(f" {w[:n]}")
-    return out
+def sketch(words: list[str]) -> int:
+    """The least hash of the 5-word shingles; copies share it, near ones most often."""
+    n = min(5, len(words))
+    return min((xxhash.xxh3_64_intdigest(" ".join(words[i:i + n])) >> 1 for i in range(len(words) - n + 1)), default=0)
+
+
+def _sketches(batches):
+    for batch in batches:
+        for piece in slices(batch, "text", 1 << 20):
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(0), piece.column(1), pa.array([sketch(fold(t)) for t in column_text(piece, "text")], pa.int64())],
+                names=["text", "label", "sketch"])
+
+
+def _beginnings(words: set[str]) -> set[str]:
+    return {f" {w[:n]}" for w in words for n in range(SHORTEST, min(LONGEST, len(w) - 1) + 1)}
+
+
+def _phrases(words: list[str], of: set[str]) -> set[str]:
+    """Each given word with the word before it, and with the one after it."""
+    return {f" {' '.join(words[max(i, 0):i + 2])} " for k, w in enumerate(words) if w in of
+            for i in (k - 1, k) if 0 <= i < len(words) - 1}
 
 
-def _count_terms(text: str, label: str):
+def _count_terms(terms_of):
+    """Votes of toxic and of clean documents for each of a text's terms."""
     def run(batches):
-        held: dict[int, Counter] = {0: Counter(), 1: Counter()}
+        held: dict[str, list[float]] = {}
 
         def out():
-            terms = list(held[0].keys() | held[1].keys())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.string()), *(pa.array([held[k][t] for t in terms], pa.int64()) for k in (1, 0))],
+                [pa.array(list(held), pa.string()), *(pa.array([v[k] for v in held.values()], pa.float64()) for k in (1, 0))],
                 names=["term", "toxic", "clean"])
-            held[0].clear(), held[1].clear()
+            held.clear()
 
         for batch in batches:
-            for piece in slices(batch, text, 1 << 20):
-                for t, kind in zip(column_text(piece, text), column_text(piece, label)):
-                    held[kind].update(_terms(fold(t)))
-                if len(held[0]) + len(held[1]) > HELD_TERMS:
+            for piece in slices(batch, "text", 1 << 20):
+                for t, kind, vote in zip(column_text(piece, "text"), column_text(piece, "label"), column_text(piece, "vote")):
+                    for term in terms_of(fold(t)):
+                        held.setdefault(term, [0.0, 0.0])[kind] += vote
+                if len(held) > HELD_TERMS:
                     yield from out()
         yield from out()
 
     return run
 
 
+def evidence(toxic: float, clean: float, base: float, share: tuple[float, float] = TOXIC_SHARE) -> float:
+    """Log of how much better a share of toxic documents drawn from a Beta distribution explains
+    the counts than the share ``base`` of all documents."""
+    a, b = share
+    return (lgamma(a + b) - lgamma(a) - lgamma(b) + lgamma(toxic + a) + lgamma(clean + b) - lgamma(toxic + clean + a + b)
+            - toxic * log(base) - clean * log(1 - base))
+
+
+def toxic_share_of_terms(kinds: list[tuple[float, float, int]], base: float) -> float:
+    """How large a part of the terms is toxic, by expectation-maximisation over
+    ``(toxic, clean, how many terms have these counts)``."""
+    odds = np.array([evidence(t, c, base) for t, c, _ in kinds])
+    n = np.array([k for _, _, k in kinds], float)
+    part = 0.01
+    for _ in range(200):
+        belief = 1 / (1 + np.exp(-np.clip(odds + log(part / (1 - part)), -500, 500)))
+        new = min(0.5, max(1e-9, float((belief * n).sum() / n.sum())))
+        if abs(new - part) < 1e-10:
+            break
+        part = new
+    return part
+
+
+@dataclass(frozen=True)
+class Counts:
+    """Votes of toxic and clean documents, and the part of the terms that is toxic."""
+
+    toxic: float
+    clean: float
+    part: float
+
+    @property
+    def base(self) -> float:
+        return self.toxic / (self.toxic + self.clean)
+
+    def belief(self, toxic: float, clean: float) -> float:
+        z = evidence(max(toxic, 0.0), max(clean, 0.0), self.base) + log(self.part / (1 - self.part))
+        return 1 / (1 + exp(-max(-500.0, min(500.0, z))))
+
+    def weight(self, toxic: float, clean: float) -> float:
+        """The log-odds of the term's documents being toxic, as far as it is believed to be a toxic term."""
+        odds = log((max(toxic, 0.0) + PRIOR) / (self.toxic + 2 * PRIOR)) - log((max(clean, 0.0) + PRIOR) / (self.clean + 2 * PRIOR))
+        return max(0.0, odds) * self.belief(toxic, clean)
+
+
 @dataclass
 class Model:
     """Weights of terms, exception phrases, and the regression on top."""
@@ -116,15 +190,22 @@ class Model:
 
 
 def matches(machine: ahocorasick.Automaton, words: list[str]) -> list[tuple[str, float]]:
-    """The terms found outside exception phrases, in order."""
+    """The terms found outside exception phrases, in order; of several at one word the weightiest."""
     if not words or not len(machine):
         return []
     found = [(end - len(term) + 1, end, term, weight) for end, (term, weight) in machine.iter(f" {' '.join(words)} ")]
     spared = [(a, b) for a, b, _, weight in found if weight is None]
-    hits = [(a, term, weight) for a, b, term, weight in found if weight is not None]
-    if spared:
-        hits = [h for h in hits if not any(a <= h[0] < b for a, b in spared)]
-    return [(term, weight) for _, term, weight in hits]
+    best: dict[int, tuple[str, float]] = {}
+    for a, _, term, weight in found:
+        if weight is not None and (a not in best or (best[a][1], best[a][0]) < (weight, term)):
+            best[a] = term, weight
+    hits, reach, spared = [], 0, sorted(spared, reverse=True)
+    for a in sorted(best):
+        while spared and spared[-1][0] <= a:  # how far the phrases that begin up to here go
+            reach = max(reach, spared.pop()[1])
+        if a >= reach:
+            hits.append(best[a])
+    return hits
 
 
 def features(hits: list[tuple[str, float]], n_words: int) -> list[float]:
@@ -132,24 +213,12 @@ def features(hits: list[tuple[str, float]], n_words: int) -> list[float]:
     return [1.0, np.log1p(total), np.log1p(100.0 * total / max(n_words, 1))]
 
 
-def _choose(rows: list, toxic: int, clean: int) -> dict[str, float]:
-    """The weights of pure terms; the shortest beginning stands for all that it begins."""
-    chosen: dict[str, float] = {}
-    for r in sorted(rows, key=lambda r: (len(r.term), r.term)):
-        weight = np.log((r.toxic + 0.5) / (toxic + 1)) - np.log((r.clean + 0.5) / (clean + 1))
-        z = weight / np.sqrt(1 / (r.toxic + 0.5) + 1 / (r.clean + 0.5))
-        if z >= LEAST_Z and not any(r.term[:n] in chosen for n in range(SHORTEST + 1, len(r.term))):
-            chosen[r.term] = float(weight)
-    kept = sorted(chosen, key=lambda t: (-chosen[t], t))[:LEXICON_SIZE]
-    return {t: chosen[t] for t in kept}
-
-
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
-    """Weighted logistic regression by Newton steps, with a little shrinkage."""
+    """Weighted logistic regression by Newton steps; slopes are drawn towards 0, which few labels do not outweigh."""
     beta = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        shrink = 1e-2 * np.eye(len(beta))
+        shrink = np.diag([1e-2] + [SHRINKAGE] * (len(beta) - 1))
         step = np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + shrink,
                                x.T @ (weight * (y - p)) - shrink @ beta)
         beta += np.clip(step, -5, 5)
@@ -158,10 +227,25 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
     return tuple(map(float, beta))
 
 
+def _believed(counted: DataFrame, counts: Counts) -> dict[str, tuple[float, float]]:
+    """The terms that enter, with their votes. Each needs several toxic documents of the sample."""
+    def run(batches):
+        for batch in batches:
+            pairs = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            known = {p: counts.belief(*p) for p in set(pairs)}
+            yield batch.filter(pa.array([known[p] >= LEAST_BELIEF for p in pairs], pa.bool_()))
+
+    summed = counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return {r.term: (r.toxic, r.clean) for r in summed.filter("toxic > 0").mapInArrow(run, "term string, toxic double, clean double").collect()}
+
+
 def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, text: str = "text",
           doc_id: str = "doc_id", label: str = "toxic", sample: int = SAMPLE,
-          exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
-    """A model from ``labels(doc_id, label 0/1)``; ``usable`` says which of its rows may teach."""
+          exceptions: tuple[str, ...] = ()) -> Model:
+    """A model from ``labels(doc_id, label 0/1)``; ``usable`` says which of its rows may teach.
+
+    ``exceptions`` are phrases known to be harmless, besides those that the sample shows.
+    """
     ship(docs)
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).filter(
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -175,45 +259,62 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, text
     # at most 2 x sample rows of two numbers
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         F.broadcast(low[0].unionByName(low[1])), "doc_id").select("text", "label")
-    counted = chosen.mapInArrow(_count_terms("text", "label"), "term string, toxic bigint, clean bigint")
-    seen = chosen.groupBy("label").count()
-    totals = {r.label: r["count"] for r in seen.collect()}
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    rows = (counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-            .filter((F.col("toxic") >= LEAST_DOCUMENTS)
-                    & (F.col("clean") * toxic <= F.col("toxic") * (IMPURITY * clean)))
-            .orderBy(F.desc("toxic"), "term").limit(50 * LEXICON_SIZE).collect())
-    weights = _choose(rows, toxic, clean)
-    spared = _clean_words(counted, weights)
-    model = Model(weights, folded + spared)
+    sketched = cluster.materialise(chosen.mapInArrow(_sketches, "text string, label int, sketch bigint"))
+    copies = sketched.groupBy("sketch", "label").agg((1 / F.count("*")).alias("vote"))
+    drawn = sketched.join(copies, ["sketch", "label"]).select("text", "label", "vote")
+    totals = {r.label: (r.votes, r.n) for r in drawn.groupBy("label").agg(F.sum("vote").alias("votes"), F.count("*").alias("n")).collect()}
+    if len(totals) < 2:
+        return Model(exceptions=folded)
+    (clean, n_clean), (toxic, n_toxic) = totals[0], totals[1]
+
+    counted = cluster.materialise(drawn.mapInArrow(_count_terms(lambda words: {f" {w} " for w in words}), "term string, toxic double, clean double"))
+    summed = counted.groupBy("term").agg(F.round(F.sum("toxic"), 1).alias("toxic"), F.round(F.sum("clean"), 1).alias("clean"))
+    kinds = [tuple(r) for r in summed.groupBy("toxic", "clean").count().collect()]
+    if not kinds:
+        return Model(exceptions=folded)
+    counts = Counts(toxic, clean, toxic_share_of_terms(kinds, toxic / (toxic + clean)))
+    terms = _believed(counted, counts)
+    words = {t.strip() for t in terms}
+    others = drawn.mapInArrow(_count_terms(lambda ws: _beginnings(set(ws) - words)), "term string, toxic double, clean double")
+    terms |= _believed(others, counts)
+    spared = folded + _clean_phrases(drawn, terms, words)
+    model = Model({t: counts.weight(*votes) for t, votes in terms.items()}, spared)
 
     def measure(batches):
         machine = model.automaton()
         for batch in batches:
             for piece in slices(batch, "text", 1 << 20):
-                values = [features(matches(machine, w), len(w)) for w in map(fold, column_text(piece, "text"))]
+                values = []
+                for t, kind, vote in zip(column_text(piece, "text"), column_text(piece, "label"), column_text(piece, "vote")):
+                    own = (vote, 0.0) if kind else (0.0, vote)
+                    ws = fold(t)
+                    # without the document's own vote, as for one that was not learnt from
+                    hits = [(term, counts.weight(*(v - o for v, o in zip(terms[term], own)))) for term, _ in matches(machine, ws)]
+                    values.append(features(hits, len(ws)))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(1), pa.array(values, pa.list_(pa.float64()))], names=["label", "x"])
+                    [piece.column(1), piece.column(2), pa.array(values, pa.list_(pa.float64()))], names=["label", "vote", "x"])
 
-    table = chosen.mapInArrow(measure, "label int, x array<double>").collect()
+    table = drawn.mapInArrow(measure, "label int, vote double, x array<double>").collect()
     y = np.array([r.label for r in table], float)
-    share = np.array([sizes[k] / max(totals.get(k, 0), 1) for k in (0, 1)])
-    model.coefficients = _fit(np.array([r.x for r in table]), y, share[y.astype(int)])
+    share = np.array([sizes[0] / max(n_clean, 1), sizes[1] / max(n_toxic, 1)])
+    model.coefficients = _fit(np.array([r.x for r in table]), y, share[y.astype(int)] * np.array([r.vote for r in table]))
     return model
 
 
-def _clean_words(counted: DataFrame, weights: dict[str, float]) -> tuple[str, ...]:
-    """Whole words that begin like a term of the lexicon but occur in clean documents only."""
-    begins = [t for t in weights if not t.endswith(" ")]
-    if not begins:
+def _clean_phrases(drawn: DataFrame, terms: dict[str, tuple[float, float]], words: set[str]) -> tuple[str, ...]:
+    """Phrases of a word of the lexicon and a neighbour that are better explained as mostly clean
+    than by the share of toxic documents that the word has by itself."""
+    if not words:
         return ()
-    word = F.col("term")
-    covered = F.exists(F.array(*map(F.lit, begins)), lambda b: F.startswith(word, b))
-    rows = (counted.filter(F.endswith(word, F.lit(" ")) & covered).groupBy("term")
-            .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-            .filter(f"toxic = 0 AND clean >= {LEAST_DOCUMENTS}")
-            .orderBy(F.desc("clean"), "term").limit(LEXICON_SIZE).collect())
-    return tuple(r.term.strip() for r in rows)
+    rows = drawn.mapInArrow(_count_terms(lambda ws: _phrases(ws, words)), "term string, toxic double, clean double").groupBy("term").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter("clean > 0").collect()
+    out = []
+    for r in rows:
+        shares = [(t + PRIOR) / (t + c + 2 * PRIOR) for t, c in (terms[f" {w} "] for w in r.term.split() if w in words)]
+        # as rare a thing as a toxic term: it takes more than a single document
+        if evidence(r.toxic, r.clean, min(shares), CLEAN_SHARE) > log((1 - LEAST_BELIEF) / LEAST_BELIEF * len(rows)):
+            out.append(r.term.strip())
+    return tuple(sorted(out))
 
 
 FIELDS = T.StructType([T.StructField("score", T.DoubleType(), False),

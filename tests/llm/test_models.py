@@ -1,5 +1,7 @@
 """Language identification, toxicity and sharding: held-out accuracy, laws and edge cases."""
 
+import math
+import random
 import re
 import sys
 import unicodedata
@@ -106,6 +108,49 @@ def test_folding_exceptions_and_length():
     assert short > long
 
 
+def test_matches_and_scores_against_plain_search(spark):
+    """Every pattern tried at every word, phrases by splitting, the regression written out."""
+    rng = random.Random(7)
+    vocabulary = ["tra", "trash", "trashy", "can", "clown", "clo", "fish", "a", "bin", "trasher", "été"]
+    weights = {" trash ": 2.0, " tras": 1.5, " clown ": 3.0, " clo": 0.5, " été ": 1.0}
+    phrases = ("trash can", "clown fish", "a trash can bin", "can trash")
+    model = toxicity.Model(weights, phrases, (-2.0, 0.7, 0.4))
+    machine, rows = model.automaton(), []
+    for i in range(400):
+        words = rng.choices(vocabulary, k=rng.randrange(0, 14))
+        spared = {i + j for p in phrases for i in range(len(words)) if words[i:i + len(p.split())] == p.split() for j in range(len(p.split()))}
+        want = []
+        for at, word in enumerate(words):
+            own = [(v, t) for t, v in weights.items() if (t == f" {word} " or (not t.endswith(" ") and word.startswith(t[1:])))]
+            if own and at not in spared:
+                want.append(max(own)[::-1])
+        assert toxicity.matches(machine, words) == want
+        total = sum(v for _, v in want)
+        z = -2.0 + 0.7 * math.log1p(total) + 0.4 * math.log1p(100 * total / max(len(words), 1))
+        rows.append((i, " ".join(words), 1 / (1 + math.exp(-z))))
+    got = toxicity.score(spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string"), model).collect()
+    assert all(abs(r.score - rows[r.doc_id][2]) < 1e-12 and r.predicted == (rows[r.doc_id][2] >= 0.5) for r in got)
+
+
+def test_belief_grows_with_evidence_and_copies_count_once(spark):
+    counts = toxicity.Counts(10.0, 60.0, 0.003)
+    beliefs = [counts.belief(t, 0) for t in range(8)]
+    assert beliefs == sorted(beliefs) and beliefs[1] < 0.05 < beliefs[3] and counts.belief(4, 4) < counts.belief(4, 0) / 2
+    assert counts.weight(5, 0) > counts.weight(5, 2) > 0 == counts.weight(0, 5)
+    words = [f"{a}{b}" for a in "bcdfghklm" for b in "aeiou"]
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices(words, k=20) + ["nasty"] * (i % 4 == 0)), int(i % 4 == 0)) for i in range(120)]
+    rows += [(1000 + i, " ".join(["copied"] + words[:20]), 1) for i in range(40)]  # one text, 40 times
+    rows += [(2000 + i, " ".join(rng.choices(words, k=20) + ["nasty", "weather"]), 0) for i in range(12)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    model = toxicity.learn(docs, labels, exceptions=("Nasty Habit",))
+    assert model.weights.get(" copied ", 0) < model.weights[" nasty "] / 5 and " weather " not in model.weights
+    assert model.exceptions == ("nasty habit", "nasty weather")
+    scores = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert all(scores[r[0]].predicted == r[2] for r in rows if r[0] < 1000 or r[0] >= 2000)
+
+
 def test_toxicity_edge_cases(spark):
     docs = spark.createDataFrame([(1, None, 1), (2, "", 1), (None, "idiot", 1), (3, "x " * 50_000, 1), (3, "idiot", None)],
                                  "doc_id bigint, text string, score int")
