@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,43 @@ def materialise(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hadoop_file(spark: SparkSession, name: str):
+    """``(file system, path)`` of a file that a DataFrame lists."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def of_files(files: list[str], ask: Callable[[str], object]) -> list:
+    """``ask`` of every file, several at a time."""
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(ask, files))
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files that ``df`` reads; 0 where there are none."""
+    spark = df.sparkSession
+
+    def size(file: str) -> int:
+        fs, path = hadoop_file(spark, file)
+        return fs.getFileStatus(path).getLen()
+
+    return sum(of_files(df.inputFiles(), size))
+
+
+def first_bytes(spark: SparkSession, name: str, size: int) -> bytes:
+    """The first bytes of a file as a reader gets them, decompressed."""
+    fs, path = hadoop_file(spark, name)
+    io = spark._jvm.org.apache.commons.io
+    codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(path)
+    stream = fs.open(path)
+    try:
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        return bytes(io.IOUtils.toByteArray(io.input.BoundedInputStream(stream, size)))
+    finally:
+        stream.close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder of whichever file system ``path`` names; nothing there is no error."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankloom import cluster
 from rankloom.functions.numbers import normal_below, places, student_two_sided
 
 TESTS = ("t", "wilcoxon")
+# Sizes of differences that are ranked together; differences keep nine places.
+BIN = 1e-4
 
 
 def paired(run_a: DataFrame, run_b: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -56,25 +57,22 @@ def wilcoxon(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Q2: ``(by, n, statistic, p_value)`` by the normal approximation.
 
     Zero differences keep their rank and count to the negative side. Pairs are first
-    counted per size of difference; the sizes are then ranked in ranges, each by a task of
-    its own, which start where the ranges before them end.
+    counted per size of difference. Sizes fall into bins, each ranked by itself and from where
+    the bins below it end: a bin holds at most ``BIN`` / 1e-9 sizes however many pairs there are, and
+    measures between 0 and 1 fill at most 1 / ``BIN`` bins. All of it is one job.
     """
     d = places(F.col("b") - F.col("a"), 9)
     sizes = (pairs.select(*by, d.alias("d"))
              .groupBy(*by, F.abs("d").alias("size"))
-             .agg(F.count("*").alias("n"), F.count_if(F.col("d") > 0).alias("n_up")))
-    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # written down, as two readings must agree on the ranges
-    ranges = cluster.materialise(
-        sizes.repartitionByRange(parts, *by, "size").withColumn("part", F.spark_partition_id()))
-    # one row per range and pair of runs
-    counts = ranges.groupBy(*by, "part").agg(F.sum("n").alias("n_part"))
-    before = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*by, "part", F.coalesce(F.sum("n_part").over(before), F.lit(0)).alias("start"))
-    upto = Window.partitionBy(*by, "part").orderBy("size").rowsBetween(
+             .agg(F.count("*").alias("n"), F.count_if(F.col("d") > 0).alias("n_up"))
+             .withColumn("bin", F.when(F.isnan("size"), F.lit((1 << 63) - 1)).otherwise(F.floor(F.col("size") / BIN))))
+    counts = sizes.groupBy(*by, "bin").agg(F.sum("n").alias("n_bin"))
+    before = Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*by, "bin", F.coalesce(F.sum("n_bin").over(before), F.lit(0)).alias("start"))
+    upto = Window.partitionBy(*by, "bin").orderBy("size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     # equal sizes share the mean of the ranks they fill
-    ranked = (ranges.withColumn("inside", F.sum("n").over(upto)).join(starts, [*by, "part"])
+    ranked = (sizes.withColumn("inside", F.sum("n").over(upto)).join(starts, [*by, "bin"])
               .withColumn("rank", F.col("start") + F.col("inside") - (F.col("n") - 1) / 2.0))
     sums = ranked.groupBy(*by).agg(F.sum("n").alias("n"),
                                    F.sum(F.col("n_up") * F.col("rank")).alias("up"))

@@ -5,26 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankloom import cluster
+
 # The line that ends a record.
 DOCUMENT_END = "   /"
 QUERY_END = "/"
 JUDGEMENT_END = "   /"
 
 
-def _line_end(spark: SparkSession, path: str, end: str) -> str:
-    """The line ending of a collection, told by the closing lines of each file; a mixture is an error.
+# A record's number and its line ending stand within this many bytes.
+HEAD_BYTES = 4096
+
 
-    The last line of a file may have no ending at all.
+def _line_end(spark: SparkSession, path: str) -> str:
+    """The line ending of a collection, told by the first line of each file; a mixture is an error.
+
+    Only the heads of the files are looked at. That a file goes on as it begins is checked where its
+    records are read.
     """
-    line = F.col("value")
-    files = spark.read.option("lineSep", "\n").text(path).groupBy(F.input_file_name()).agg(
-        F.count_if(line == end).alias("bare"), F.count_if(line == f"{end}\r").alias("closed"),
-        F.count_if(F.endswith(line, F.lit("\r"))).alias("returns"))
-    windows = (F.col("closed") > 0) | ((F.col("bare") <= 1) & (F.col("returns") > 0))
-    found = files.select(windows.alias("w"), ((F.col("closed") > 0) & (F.col("bare") > 1)).alias("m")).distinct().collect()
-    if len({r.w for r in found}) == 2 or any(r.m for r in found):
+    def ending(file: str) -> str | None:
+        head = cluster.first_bytes(spark, file, HEAD_BYTES)
+        at = head.find(b"\n")
+        return None if at < 0 else "\r\n" if head[:at].endswith(b"\r") else "\n"
+
+    found = set(cluster.of_files(spark.read.text(path).inputFiles(), ending)) - {None}
+    if len(found) > 1:
         raise ValueError(f"{path} mixes two kinds of line endings")
-    return "\r\n" if any(r.w for r in found) else "\n"
+    return found.pop() if found else "\n"
 
 
 def _records(spark: SparkSession, path: str, end: str) -> DataFrame:
@@ -33,7 +40,7 @@ def _records(spark: SparkSession, path: str, end: str) -> DataFrame:
     The reader splits at the closing line itself, so a large file is read by many tasks.
     A record whose first line is no number is an error; stray closing lines are not.
     """
-    eol = _line_end(spark, path, end)
+    eol = _line_end(spark, path)
     raw = spark.read.option("lineSep", f"{eol}{end}{eol}").text(path)
     # closing lines that belong to no record stick to the next or to the last one
     plain = F.regexp_replace("value", "\r(?=\n|\\z)", "") if eol == "\r\n" else F.col("value")
@@ -41,7 +48,10 @@ def _records(spark: SparkSession, path: str, end: str) -> DataFrame:
     text = F.regexp_replace(text, rf"(?:\A|\n){end}\n?\z", "")
     lines = F.split(text, "\n", 2)
     split = raw.select(text.alias("text"), lines[0].alias("number"), F.get(lines, F.lit(1)).alias("body"))
-    headed = (F.when(F.contains(F.col("text"), F.lit(f"\n{end}\n")), F.raise_error(F.lit("a file mixes two kinds of line endings")).cast("boolean"))
+    # the other ending closes a record inside this one, or ends its first line
+    mixed = F.contains(F.col("text"), F.lit(f"\n{end}\n")) | F.contains(F.col("text"), F.lit(f"\n{end}\r\n")) | F.endswith(
+        F.col("number"), F.lit("\r"))
+    headed = (F.when(mixed, F.raise_error(F.lit("a file mixes two kinds of line endings")).cast("boolean"))
               .when(F.col("number").rlike(r"\A-?\d+\z"), True).when(F.trim(F.translate("text", "\n\r\t", "   ")) == "", False)
               .otherwise(F.raise_error(F.concat(F.lit("a record begins with no number: "), F.substring("number", 1, 80)))
                          .cast("boolean")))

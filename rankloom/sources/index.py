@@ -115,13 +115,9 @@ def _drop_batch(spark: SparkSession, folder: str, buckets: int) -> None:
 
 def _text_bytes(docs: DataFrame) -> int:
     """Bytes of text: told by the input files' sizes, or counted where there are no files."""
-    spark = docs.sparkSession
-    files = docs.inputFiles()
-    if not files:
-        return docs.agg(F.sum(F.octet_length("contents"))).first()[0] or 0
-    conf, place = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
-    fs = place(files[0]).getFileSystem(conf)
-    return FILE_BYTES_TO_TEXT * sum(fs.getFileStatus(place(f)).getLen() for f in files)
+    if size := cluster.input_bytes(docs):
+        return FILE_BYTES_TO_TEXT * size
+    return docs.agg(F.sum(F.octet_length("contents"))).first()[0] or 0
 
 
 def _bucket_count(docs: DataFrame) -> int:

@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from rankloom.sources import collection
 from rankloom import read_corpus, read_qrels, read_queries, read_results, write_results
 
 
@@ -77,11 +78,34 @@ def test_mixed_endings_and_broken_headers_are_errors(spark, tmp_path):
     (tmp_path / "one").write_bytes(b"1\r\na\r\n   /\n2\r\nb\r\n   /\r\n")
     with pytest.raises(Exception, match="line endings"):
         read_corpus(spark, str(tmp_path / "one")).count()
+    (tmp_path / "two").write_bytes(b"1\na\n   /\n2\r\nb\r\n   /\r\n3\nc\n   /\n")
+    with pytest.raises(Exception, match="line endings"):
+        read_corpus(spark, str(tmp_path / "two")).count()
+    (tmp_path / "last").write_bytes(b"1\na\n   /\n2\r\nb\r\n   /")
+    with pytest.raises(Exception, match="line endings"):
+        read_corpus(spark, str(tmp_path / "last")).count()
     broken = put(tmp_path, "documents.txt", "1\na\n   /\nx2\nb\n   /\n")
     with pytest.raises(Exception, match="begins with no number: x2"):
         read_corpus(spark, broken).count()
 
 
+def test_heads_alone_tell_the_line_ending(spark, tmp_path, monkeypatch):
+    """Compressed files, empty ones, names with blanks; texts are read by the records' reader only."""
+    import gzip
+
+    folder = tmp_path / "with blank"
+    folder.mkdir()
+    (folder / "a b.txt.gz").write_bytes(gzip.compress(b"1\r\na\r\n   /\r\n"))
+    (folder / "empty.txt").write_bytes(b"")
+    (folder / "c%20d.txt").write_bytes(b"2\r\nb " + b"x" * 10_000 + b"\r\n   /")
+    asked = []
+    real = collection.cluster.first_bytes
+    monkeypatch.setattr(collection.cluster, "first_bytes", lambda s, name, size: asked.append(size) or real(s, name, size))
+    got = rows(read_corpus(spark, str(folder)))
+    assert got == [(1, "a\n"), (2, "b " + "x" * 10_000 + "\n")]
+    assert len(asked) == 3 and set(asked) == {collection.HEAD_BYTES}
+
+
 def test_queries(spark, tmp_path):
     path = put(tmp_path, "queries.txt", "1\nMEASUREMENT OF\nDIELECTRIC\n/\n2\nword\n/\n/\n")
     assert rows(read_queries(spark, path)) == [(1, "MEASUREMENT OF DIELECTRIC"), (2, "word")]

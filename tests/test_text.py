@@ -10,6 +10,15 @@ CASES = {
     "ÁRBOL Ñandú naïve": ["árbol", "ñandú", "naïve"],
     "東京 tower ひら ハングル 한국어": ["東", "京", "tower", "ひ", "ら", "ハングル", "한국어"],
     "été l’eau": ["été", "l’eau"],
+    "カタカナabc abcカナ1": ["カタカナ", "abc", "abc", "カナ", "1"],
+    "カナ_a a_カナ_b _カナ カ.a": ["カナ_a", "a_カナ_b", "_カナ", "カ", "a"],
+    "ｶﾞﾅ ー ㌀": ["ｶﾞﾅ", "ー", "㌀"],
+    "abcไทย ไทยไทย 12ไทย": ["abc", "ไทย", "ไทยไทย", "12", "ไทย"],
+    "မြန်မာ x": ["မြန်မာ", "x"],
+    "한글abc 漢abc": ["한글abc", "漢", "abc"],
+    "ok 😀👍🏽! x😀y": ["ok", "😀", "👍🏽", "x", "😀", "y"],
+    "👩‍👩‍👧‍👦 ❤️ 🏳️‍🌈": ["👩‍👩‍👧‍👦", "❤️", "🏳️‍🌈"],
+    "🇪🇸🇫🇷 🇪 1️⃣ #️⃣ # *": ["🇪🇸", "🇫🇷", "1️⃣", "#️⃣"],
     "": [],
     " .,; \n\t": [],
     "x" * 600: ["x" * 255, "x" * 255, "x" * 90],
