@@ -19,6 +19,7 @@ columns are left out. Without training documents all counts are 0 and the weight
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,10 +35,15 @@ from rankloom import cluster
 from rankloom.llm.common import column_bytes, ship, slices
 
 ORDER = 2
-# Tokens after which a block is closed; a longer document is a block by itself.
-BLOCK_TOKENS = 1_000_000
-# Tokens of the corpus per hash range.
+# Tokens after which a block is closed, at least and at most; a longer document is a block by itself.
+BLOCK_TOKENS, MOST_BLOCK_TOKENS = 1_000_000, 32_000_000
+# Tokens of the corpus per hash range, at least.
 RANGE_TOKENS = 500_000
+# What a block sends to a range is about so many tokens of the block: blocks and ranges grow with
+# the square root of the corpus, so that what a block sends does not fall apart into single n-grams.
+FRAME_TOKENS = 50
+# Bytes of a compressed file per token, for a first guess.
+FILE_BYTES_PER_TOKEN = 3
 # Context-frequency buckets: powers of two, the last one open.
 BUCKETS = 16
 # Expectation-maximisation: rounds at most, the change that ends it, the least weight.
@@ -75,7 +81,7 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
-def _block_rows(text: str, id_type: pa.DataType):
+def _block_rows(text: str, id_type: pa.DataType, block_tokens: int):
     """Kinds of documents: 0 not trained on, 1 trained on, 2 trained on and set aside."""
     def run(batches):
         part, serial = TaskContext.get().partitionId(), 0
@@ -107,7 +113,7 @@ def _block_rows(text: str, id_type: pa.DataType):
                     codes.append(np.array(own, np.uint32))
                     ids.append(doc_id), kinds.append(kind), sizes.append(len(own))
                     held += len(own)
-                    if held >= BLOCK_TOKENS:
+                    if held >= block_tokens:
                         yield out()
                         serial, held = serial + 1, 0
                         ids, kinds, sizes, codes, numbers = [], [], [], [], {}
@@ -322,6 +328,16 @@ SCORED = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, tra
           "base_score double, score double")
 
 
+def block_tokens(tokens: int) -> int:
+    """Tokens per block for a corpus of about so many."""
+    return min(MOST_BLOCK_TOKENS, max(BLOCK_TOKENS, math.isqrt(FRAME_TOKENS * tokens)))
+
+
+def range_bits(tokens: int, block: int) -> int:
+    """Bits of a hash that name its range."""
+    return max(4, int(tokens // max(RANGE_TOKENS, FRAME_TOKENS * tokens // block)).bit_length())
+
+
 def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text",
                     order: int = ORDER) -> DataFrame:
     """One row per document: known tokens, the add-one unigram score and the model's, in log10.
@@ -335,10 +351,11 @@ def score_documents(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str
     kind = F.when(held_out, 0).when(aside, 2).otherwise(1)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(kind, F.lit(1)).alias("kind"),
                        F.col(text).alias("text"))
-    blocks = cluster.materialise(rows.mapInArrow(_block_rows("text", pa.int64()), BLOCK), "zstd")
+    size = block_tokens(cluster.input_bytes(docs) // FILE_BYTES_PER_TOKEN)
+    blocks = cluster.materialise(rows.mapInArrow(_block_rows("text", pa.int64(), size), BLOCK), "zstd")
     sums = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (
         "n_tokens", "n_train", "n_docs", "n_aside", "n_docs_aside"))).first()
-    bits = max(4, min(20, int(sums.n_tokens // RANGE_TOKENS).bit_length()))
+    bits = range_bits(sums.n_tokens, size)
     asked = blocks.select("block", "kinds", "sizes", "codes", "hashes").mapInArrow(
         _ask(order, bits), "length int, range int, block bigint, keys binary, seen binary, aside binary")
     answers = cluster.materialise(asked.groupBy("length", "range").applyInArrow(_answer, ANSWER), "zstd")

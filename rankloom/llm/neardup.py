@@ -4,7 +4,9 @@ A document's set holds its distinct shingles of five words. Its MinHash signatur
 out in several orders of the hash functions. In each order the signatures are sorted, and
 documents that stand near each other and share a long enough prefix become candidates: where
 a region is crowded only deeper prefixes bring two documents near each other, where it is
-empty a short one does. Candidates are then confirmed on their full sets.
+empty a short one does. Candidates are then confirmed on their full sets, each shingle by 48
+bits of its hash. Candidates are neighbours up to ``REACH`` places away: links between documents that
+are not are found only through others. The tests hold the links against all pairs.
 
 Equal sets are one class from the start. Sorting is a range partitioning of all orders
 together, so that a common prefix is split over tasks; the few rows at the ends of the
@@ -19,6 +21,8 @@ kept without a component. Extra columns are left out.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -40,6 +44,8 @@ LEAST_PREFIX, REACH = 3, 6
 LIKELY = 2
 # Sorted rows per task, and members of one class that are confirmed in one group.
 SORTED_ROWS, GROUP_MEMBERS = 200_000, 256
+# Tasks of a sort at most.
+MOST_PARTS = 100_000
 
 _KEYS = np.random.default_rng(20_24)
 _A = _KEYS.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -177,13 +183,20 @@ def forest_candidates(classes: DataFrame) -> DataFrame:
     """``(a, b, prefixes)`` of ``classes(node, signature)``; summed over the orders."""
     rows = classes.select("node", "signature").mapInArrow(_orders, "tree int, label binary, node bigint")
     spark = classes.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), classes.count() * ORDERS // SORTED_ROWS)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(MOST_PARTS, max(least, classes.count() * ORDERS // SORTED_ROWS))
     order = ("tree", "label", "node")
-    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    found = cluster.materialise(ordered.mapInArrow(_neighbours(True), NEIGHBOUR))
-    # a few rows per task: the neighbours that a range's end had cut apart
-    ends = found.filter("node IS NOT NULL").select(*order).coalesce(1).sortWithinPartitions(*order)
-    pairs = found.filter("a IS NOT NULL").unionByName(ends.mapInArrow(_neighbours(False), NEIGHBOUR))
+    met = []
+    while True:
+        ranges = rows.coalesce(1) if parts == 1 else rows.repartitionByRange(parts, *order)
+        found = cluster.materialise(ranges.sortWithinPartitions(*order).mapInArrow(_neighbours(parts > 1), NEIGHBOUR))
+        met.append(found.filter("a IS NOT NULL"))
+        if parts == 1:
+            break
+        # a few rows per range: the neighbours that its ends had cut apart, in ranges again while they are many
+        rows = found.filter("node IS NOT NULL").select(*order)
+        parts = max(1, min(parts // 2, rows.count() // SORTED_ROWS))
+    pairs = reduce(DataFrame.unionByName, met).select("a", "b", "prefix")
     return pairs.groupBy("a", "b").agg(F.sum("prefix").alias("prefixes"))
 
 

@@ -9,10 +9,12 @@ match of ``min_words`` through it can reach to either side.
 Suffixes are sorted twice over the whole corpus, by range partitioning: by the words from
 the position on, and by the words before it read backwards. Neighbours that share the
 gram are compared: the match is extended to the right and to the left, and one of
-``min_words`` or more marks those words in both texts. Where the neighbours leave it open
-whether a longer match exists, all windows of ``min_words`` through the position are compared
-by their hashes. Equal surroundings are one suffix from the start, with a count, so copies
-cost one row; a common line is split over tasks by what surrounds it.
+``min_words`` or more marks those words in both texts. No match goes further to either side
+than the best neighbour on that side does. Where that leaves open whether a match reaches
+beyond what is marked, all windows of ``min_words`` within those reaches are compared by their
+hashes, so that every word of a repeated window is marked. Equal surroundings are one suffix
+from the start, with a count, so copies cost one row; a common line is split over tasks by
+what surrounds it, and the places of a common passage are dealt over tasks by their number.
 
 Rows: a null text counts as empty; texts with fewer than ``min_words`` words have no repeated
 passage; a passage repeated inside one text counts only if another text has it too, or if
@@ -22,6 +24,8 @@ reported without one. Extra columns are left out.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,6 +40,10 @@ from rankloom.llm.lm import mix
 MIN_WORDS = 51
 GRAM = 8
 SORTED_ROWS = 50_000
+# Tasks of a sort at most.
+MOST_PARTS = 100_000
+# Rows of one key from which on they are dealt over several tasks; no more keys than this are.
+SPLIT_ROWS, MOST_SPLIT = 20_000, 100_000
 
 
 def word_codes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -206,8 +214,11 @@ def _neighbours(min_words: int, gram: int, ends: bool):
                  pa.array(np.where(found, right, -1).astype(np.int32)), pa.array(doc[j])], names=names)
         if ends:  # what neighbours in other tasks' ranges are compared with
             last = t.num_rows - 1
-            near = {0, last, *other[own == 0].tolist(), *other[own == last].tolist()}
-            rows = t.take(pa.array(sorted(near)))
+            new = np.concatenate([[0], np.cumsum((owner[1:] != owner[:-1]) | (group[1:] != group[:-1]))])
+            # the rows that no other text separates from the end, and the next ones beyond
+            near = np.nonzero((new == 0) | (new == new[last]))[0]
+            near = np.unique(np.concatenate([near, other[own == 0], other[own == last]]))
+            rows = t.take(pa.array(near))
             empty = [pa.nulls(len(near), k) for k in (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())]
             yield pa.RecordBatch.from_arrays([*rows.columns, *empty], names=names)
 
@@ -237,6 +248,40 @@ def _windows(min_words: int, gram: int):
     return run
 
 
+def _sorted_neighbours(rows: DataFrame, count: int, min_words: int, gram: int) -> DataFrame:
+    """The compared neighbours of all rows: ranges first, then what their ends cut apart, which
+    are few rows per range and sorted again in ranges as long as they are many."""
+    order = ["side", "gram", "first", "digest"]
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts, met = min(MOST_PARTS, max(least, -(-count // SORTED_ROWS))), []
+    while True:
+        ranges = rows.coalesce(1) if parts == 1 else rows.repartitionByRange(parts, *order)
+        found = cluster.materialise(ranges.sortWithinPartitions(*order).mapInArrow(
+            _neighbours(min_words, gram, parts > 1), NEIGHBOUR))
+        met.append(found.filter("other IS NOT NULL"))
+        if parts == 1:
+            return reduce(DataFrame.unionByName, met)
+        rows = found.filter("other IS NULL").select("side", "gram", "digest", "first", "second", "doc", "owner")
+        parts = max(1, min(parts // 2, -(-rows.count() // SORTED_ROWS)))
+
+
+def _dealt(rows: DataFrame, many: DataFrame, by: list[str], side: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` joined with ``side``, which has each key once; ``many(key, pieces)`` names the keys
+    whose rows are dealt over several tasks."""
+    piece = F.coalesce(F.pmod(F.xxhash64(*by), F.col("pieces")), F.lit(0)).cast("int")
+    dealt = rows.join(F.broadcast(many), key, "left").withColumn("piece", piece).drop("pieces")
+    last = F.coalesce(F.col("pieces"), F.lit(1)).cast("int") - 1
+    copies = side.join(F.broadcast(many), key, "left").withColumn("piece", F.explode(F.sequence(F.lit(0), last))).drop("pieces")
+    return dealt.join(copies, [*key, "piece"]).drop("piece")
+
+
+def _many(counted: DataFrame, key: list[str]) -> DataFrame:
+    """``(key, pieces)`` of the keys of ``counted(key, n)`` with very many rows; a bounded number."""
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    step = max(SPLIT_ROWS, -(-total // MOST_SPLIT))
+    return counted.filter(F.col("n") >= step).select(*key, F.expr(f"1 + n div {step}").alias("pieces"))
+
+
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
                       gram: int = GRAM, within: bool = False) -> DataFrame:
     """``(doc_id, start, end, n_words, first_doc_id)``: the stretches of words that occur elsewhere.
@@ -245,7 +290,6 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     overlap are one. ``first_doc_id`` is the least id met among texts with part of it.
     """
     ship(docs)
-    spark = docs.sparkSession
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     suffixes = cluster.materialise(source.mapInArrow(_suffixes(min_words, gram), SUFFIX))
     key = ["gram", "digest"]
@@ -275,14 +319,8 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     sides = words.select(*key, "doc", "owner", F.inline(F.array(
         F.struct(F.lit(0).alias("side"), F.col("after").alias("first"), F.col("before").alias("second")),
         F.struct(F.lit(1).alias("side"), F.col("before").alias("first"), F.col("after").alias("second")))))
-    columns = ["side", "gram", "digest", "first", "second", "doc", "owner"]
-    order = ["side", "gram", "first", "digest"]
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * words.count() // SORTED_ROWS)
-    ordered = sides.select(*columns).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    met = cluster.materialise(ordered.mapInArrow(_neighbours(min_words, gram, True), NEIGHBOUR))
-    # two rows per task: the neighbours that the end of a range had cut apart
-    ends = met.filter("other IS NULL").select(*columns).coalesce(1).sortWithinPartitions(*order)
-    met = met.filter("other IS NOT NULL").unionByName(ends.mapInArrow(_neighbours(min_words, gram, False), NEIGHBOUR))
+    met = _sorted_neighbours(sides.select("side", "gram", "digest", "first", "second", "doc", "owner"),
+                             2 * words.count(), min_words, gram)
     best = cluster.materialise(met.groupBy(*key).agg(
         F.max("left").alias("left"), F.max("right").alias("right"), F.min("doc").alias("doc"),
         F.min(F.when(F.col("left") >= 0, F.col("other_doc"))).alias("other_doc"),
@@ -290,20 +328,22 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         F.coalesce(F.max(F.when(F.col("side") == 1, F.col("reach"))), F.lit(0)).alias("max_left")))
     near = best.filter("left >= 0").select(*key, "left", "right", F.least("doc", "other_doc").alias("doc"))
 
-    # left open: both sides reach far enough, but not with one neighbour
-    open_ = best.filter(F.col("max_left") + F.col("max_right") + gram >= min_words)
-    unsure = open_.filter("left < 0").select("gram").distinct()
+    # left open: both sides reach far enough together, and further than what was found
+    open_ = best.filter(F.col("max_left") + F.col("max_right") + gram >= min_words).withColumn(
+        "beyond", (F.col("max_left") > F.col("left")) | (F.col("max_right") + gram > F.col("right")))
+    unsure = open_.filter("beyond").select("gram").distinct()
     tried = (open_.join(unsure, "gram").select(*key, "max_left", (F.col("max_right") + gram).alias("max_right"))
              .join(words, key).mapInArrow(_windows(min_words, gram), "gram bigint, digest bigint, doc bigint, owner bigint, left int, key bigint"))
     tried = cluster.materialise(tried)
-    twice = tried.groupBy("gram", "left", "key").agg(
-        (F.min("owner") < F.max("owner")).alias("met"), F.min("doc").alias("low")).filter("met")
-    windows = tried.join(twice, ["gram", "left", "key"]).select(
+    window = ["gram", "left", "key"]
+    twice = cluster.materialise(tried.groupBy(*window).agg(
+        (F.min("owner") < F.max("owner")).alias("met"), F.min("doc").alias("low"), F.count("*").alias("n")).filter("met"))
+    windows = _dealt(tried, _many(twice, window), ["digest"], twice.select(*window, "low"), window).select(
         *key, "left", (F.lit(min_words) - F.col("left")).alias("right"), F.col("low").alias("doc"))
 
     spans = equal.unionByName(near).unionByName(windows).groupBy(*key).agg(
         F.max("left").alias("left"), F.max("right").alias("right"), F.min("doc").alias("first_doc_id"))
-    placed = suffixes.join(spans, key).select(
+    placed = _dealt(suffixes, _many(classes, key), ["row", "place"], spans, key).select(
         "doc_id", "row", (F.col("place") - F.col("left")).alias("start"),
         (F.col("place") + F.col("right")).alias("end"), "first_doc_id")
     before = Window.partitionBy("row").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
