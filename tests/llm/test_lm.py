@@ -116,3 +116,13 @@ def test_edge_cases(spark):
     assert lm.score_documents(docs.limit(0), F.lit(False)).collect() == []
     untrained = lm.score_documents(docs, F.lit(True)).collect()
     assert all(r.n_known == 0 and math.isfinite(r.score) for r in untrained)
+
+
+def test_blocks_and_ranges_grow_together():
+    for tokens in (0, 10 ** 6, 10 ** 8, 10 ** 11, 10 ** 13, 10 ** 14):
+        block = lm.block_tokens(tokens)
+        ranges = 2 ** lm.range_bits(tokens, block)
+        assert lm.BLOCK_TOKENS <= block <= lm.MOST_BLOCK_TOKENS
+        assert tokens / ranges <= max(lm.RANGE_TOKENS, 50 * tokens / block)  # a range fits a task
+        if tokens > 10 ** 9:
+            assert block / ranges >= lm.FRAME_TOKENS / 2.1  # tokens of a block in a range

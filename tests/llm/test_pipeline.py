@@ -60,5 +60,33 @@ def test_rows_without_text_or_id_pass(spark, sf):
     for _, stage in cp.STAGES:
         docs = cluster.materialise(stage(spark, docs, sf))
     assert {r.doc_id: r.n_tokens for r in docs.collect()}.keys() == {1, 2, 3, None}
-    empty = docs.limit(0)
-    assert empty.count() == 0
+
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def test_an_empty_table_passes_every_stage(spark, sf):
+    docs = spark.createDataFrame([], SCHEMA)
+    for name, stage in cp.STAGES:
+        done = cluster.materialise(stage(spark, docs, sf))
+        assert done.count() == 0 and (name == "bpe" or done.columns == docs.columns)
+
+
+def test_columns_named_like_results_keep_their_values(spark, sf):
+    """Extra columns with the names of what the operators return, ties and repeated rows."""
+    names = ["score", "predicted", "terms", "kept", "component_id", "n_hit", "items", "spans", "base", "row", "label", "votes"]
+    texts = ["some words of a text that is like no other one", "some words of a text that is like no other one",
+             "mail to a@b.org or call", "mail to a@b.org or call", None, None, "", "x " * 30_000]
+    rows = [(i // 2, t, "en", "s", 0, *(f"{n}{i}" for n in names)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA + "".join(f", {n} string" for n in names))
+    given = {(r.doc_id, r.text): 0 for r in docs.collect()}
+    for _, stage in cp.STAGES[:-1]:
+        docs = cluster.materialise(stage(spark, docs, sf))
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names]
+        for r in docs.collect():
+            assert len({r[n].removeprefix(n) for n in names}) == 1  # all of the same row
+    left = docs.collect()
+    # rows that repeat an id and a text stay together; the null and the empty text stay
+    assert sorted(r.doc_id for r in left) == [0, 0, 1, 1, 2, 2, 3, 3] and len(given) == 5
+    assert {r.text for r in left if r.doc_id == 1} == {"mail to <EMAIL> or call"}
+    assert {r.n_chars for r in left if r.doc_id == 1} == {23} and {r.n_chars for r in left if r.doc_id == 0} == {0}
