@@ -2,7 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as
 Parquet and read again as the next one's ``docs``. All but the last return the columns of
-``documents``.
+``docs``, whatever others there are besides those of ``documents``: an operator sees only the id
+and the text, so that no column can be mistaken for one of its results. An empty table gives
+an empty one in every stage.
 """
 
 from __future__ import annotations
@@ -16,40 +18,59 @@ from rankloom.llm.common import fold_of
 from rankloom.llm.queries import table, vocabulary_path
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """Id and text for an operator, and the whole row beside them."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model scores below one half."""
+    """Documents that the toxicity model scores below one half.
+
+    A null or empty text stays, and so does everything where no labels of both kinds can be
+    learnt from; rows alike in text stay or go together, whatever their ids.
+    """
     held_out = fold_of(F.col("doc_id"), 5) == 0
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
-    scored = toxicity.score(docs, model)
-    return scored.filter("predicted = 0").select(*docs.columns)
+    return toxicity.score(_packed(docs), model).filter("predicted = 0").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least id.
 
-    A row without an id stays unless a document with its set of shingles stays; rows that
-    repeat an id stay or go together.
+    A text without words is nobody's copy. A row without an id stays unless a document with its
+    set of shingles stays; rows that repeat an id stay or go together.
     """
-    kept = neardup.link_documents(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = neardup.link_documents(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    """Documents without a passage of the benchmark.
+
+    A null text has none and stays; ids play no part; an empty benchmark takes nothing away.
+    """
+    return decontaminate.remove_contaminated(_packed(docs), table(spark, sf_dir, "benchmark")).select("row.*")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced by its kind; ``n_chars`` follows the new text."""
-    found = pii.find(docs, pii.train(docs))
-    masked = found.withColumn("text", pii.masked(F.col("text"), F.col("spans"))).withColumn(
-        "n_chars", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(
-            F.char_length("text").cast(docs.schema["n_chars"].dataType)))
-    return masked.select(*docs.columns)
+    """Texts with personal data replaced by its kind; ``n_chars`` follows the new text.
+
+    No row goes. A text without such data, a null one too, stays as it is, with its ``n_chars``;
+    repeated rows are masked alike.
+    """
+    found = pii.find(_packed(docs), pii.train(docs))
+    done = found.select("row", "spans", pii.masked(F.col("text"), F.col("spans")).alias("masked"))
+    changed = F.col("row").withField("text", F.col("masked")).withField(
+        "n_chars", F.char_length("masked").cast(docs.schema["n_chars"].dataType))
+    return done.select(F.when(F.size("spans") == 0, F.col("row")).otherwise(changed).alias("row")).select("row.*")
 
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text in place of it, their number, and a digest of what they decode to."""
+    """Token ids of each text in place of it, their number, and a digest of what they decode to.
+
+    A null or empty text has no ids; every row is encoded by itself; only ``doc_id``, ``lang`` and
+    ``source`` are kept of the others.
+    """
     done = bpe.encode_documents(docs, vocabulary_path(), decoded=True)
     return done.select("doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids",
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
