@@ -27,11 +27,11 @@ FLAG_LETTER = r"\x{1F1E6}-\x{1F1FF}"
 TAG = r"\x{E0020}-\x{E007F}"
 KEYCAP = r"\uFE0F?\u20E3"
 # Scripts whose letters do not join with those of others.
-_APART = rf"{IDEOGRAPH}{KATAKANA}ﾞﾟ\p{{IsThai}}\p{{IsLao}}\p{{IsMyanmar}}\p{{IsKhmer}}\p{{IsTai_Le}}\p{{IsNew_Tai_Lue}}\p{{IsTai_Tham}}\p{{IsTai_Viet}}\p{{IsAhom}}"
+_APART = rf"{IDEOGRAPH}{KATAKANA}\uFF9E\uFF9F\p{{IsThai}}\p{{IsLao}}\p{{IsMyanmar}}\p{{IsKhmer}}\p{{IsTai_Le}}\p{{IsNew_Tai_Lue}}\p{{IsTai_Tham}}\p{{IsTai_Viet}}\p{{IsAhom}}"
 LETTER = rf"[\p{{L}}\p{{Nl}}&&[^{_APART}]]"
 DIGIT = r"\p{Nd}"
 CONNECTOR = r"\p{Pc}"
-EXTENDER = r"\p{M}\u200C\u200D\u00AD"
+EXTENDER = r"\p{M}\u200C\u200D\u00AD\uFF9E\uFF9F"
 INSIDE_WORD = (r"[.'\u2018\u2019\u2024\uFE52\uFF07\uFF0E"
                r":\u00B7\u0387\u05F4\u2027\uFE13\uFE55\uFF1A]")
 INSIDE_NUMBER = (r"[.'\u2018\u2019\u2024\uFE52\uFF07\uFF0E"
