@@ -14,6 +14,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import sys
 import unicodedata
 from itertools import chain
 
@@ -22,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from rankloom.llm.common import column_text, with_columns
 
@@ -35,6 +37,11 @@ STEP_BYTES = 2 << 20
 # The splitting pattern and the white space of the vocabulary's file format.
 SPACE = r"\t-\r \x85\xa0  -     　"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
+# Letters and numbers that Python's own character tables do not know yet. For words with one of them the
+# tables of the tokenizers library decide what is a letter and what its lower case is.
+NEWER = regex.compile("[" + "".join(
+    c for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)])))
+    if unicodedata.category(c) == "Cn") + "\uFFFF]")
 # Control characters that str.split() takes for white space and the pattern does not.
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
@@ -113,7 +120,12 @@ class Encoder:
     def chunk(self, chunk: str) -> tuple[int, ...]:
         """The ids of a stretch without white space."""
         ids: list[int] = []
-        for word in self.split.findall(chunk):
+        if not chunk.isascii() and NEWER.search(chunk):
+            lowered = normalizers.Lowercase().normalize_str(chunk)
+            words = [w for w, _ in pre_tokenizers.Split(Regex(SPLIT), "removed", invert=True).pre_tokenize_str(lowered)]
+        else:
+            words = self.split.findall(chunk)
+        for word in words:
             data = word.encode("utf-8", "surrogatepass")
             symbols = [self.v.inner[b] for b in data[:-1]] + [self.v.last[data[-1]]]
             ids += merged([s for s in symbols if s is not None], self.v.merges)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 
 import pytest
 from tokenizers import Tokenizer
@@ -30,6 +31,14 @@ def test_odd_texts(library):
         assert bpe.decode(encoder.v, ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_every_code_point(library):
+    encoder = bpe.Encoder(bpe.read_vocabulary(PATH))
+    points = [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]
+    for at in range(0, len(points), 2000):
+        text = " ".join(f"a{chr(c)}b{chr(c)}{chr(c)}" for c in points[at:at + 2000])
+        assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids, hex(points[at])
+
+
 def test_query(spark, sf, documents, library):
     digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
     rows = {r.doc_id: r for r in queries.op3_bpe(spark, sf).collect()}

@@ -1,5 +1,6 @@
 """Language identification, toxicity and sharding: held-out accuracy, laws and edge cases."""
 
+import hashlib
 import math
 import random
 import re
@@ -175,6 +176,32 @@ def test_shards(spark, sf, documents):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_descent_in_plain_python(spark):
+    """At every level the child with the least draw for its weight, drawn from its own name alone."""
+    rng = random.Random(5)
+    tree = [sharding.Leaf(s // 6, s // 2, s, rng.choice([0.5, 1.0, 3.0])) for s in range(24)]
+
+    def shard(key):
+        left = tree
+        for level in ("region", "rack", "shard"):
+            weights = defaultdict(float)
+            for t in left:
+                weights[getattr(t, level)] += t.weight
+            if len(weights) > 1:
+                def draw(n):
+                    digest = hashlib.md5(f"{key}|{level}{n}".encode()).hexdigest()[:12]
+                    return -math.log((int(digest, 16) + 0.5) / 16 ** 12) / weights[n]
+                name = min(weights, key=draw)
+            else:
+                name = next(iter(weights))
+            left = [t for t in left if getattr(t, level) == name]
+        return left[0].shard
+
+    ids = [*range(300), -5, 2 ** 62, None]
+    got = spark.createDataFrame([(i,) for i in ids], "id bigint").select("id", sharding.shard_of(tree, F.col("id")).alias("s")).collect()
+    assert {r.id: r.s for r in got} == {i: shard("null" if i is None else i) for i in ids}
+
+
 def test_shares_follow_weights_and_movement_stays_in_the_changed_subtree(spark):
     ids = spark.range(20_000)
     tree = sharding.regular_tree(24)
