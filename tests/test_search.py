@@ -200,10 +200,15 @@ def test_a_number_without_a_query_is_an_error(given):
             select_queries(queries, which)
 
 
-def test_short_queries_keep_their_judgements(spark, tmp_path):
-    docs = [(1, "alpha beta here"), (2, "gamma delta eps zeta"), (3, "xalpha betax")]
-    asked = [(1, "alpha beta"), (2, "gamma"), (3, "gamma delta eps"), (4, "nowhere at all")]
+@pytest.mark.parametrize("broadcast", [None, 0])
+def test_short_queries_keep_their_judgements(spark, tmp_path, monkeypatch, broadcast):
+    docs = [(1, "alpha beta here"), (2, "gamma delta eps zeta"), (3, "xalpha betax"), (4, None), (5, ""), (6, "日本 🇪🇸🇫🇷 a.b"), (6, "Gamma. gammA")]
+    asked = [(1, "alpha beta"), (2, "gamma"), (3, "gamma delta eps"), (4, "nowhere at all"), (5, "本"), (6, "🇸🇫"), (7, "."), (8, ""),
+             (9, "a b"), (10, "mma"), (11, "ma g"), (12, None)]
     for name, rows_, schema in (("documents", docs, "doc_id bigint, text string"), ("benchmark", asked, "item_id bigint, text string")):
         spark.createDataFrame(rows_, schema).write.parquet(f"{tmp_path}/{name}.parquet")
-    got = rows(workload.verbatim_judgements(spark, str(tmp_path)))
-    assert got == [(1, 1), (1, 3), (2, 2), (3, 2)]
+    if broadcast is not None:
+        monkeypatch.setattr(cluster, "BROADCAST_BYTES", broadcast)
+    found = workload.verbatim_judgements(spark, str(tmp_path))
+    assert "NestedLoop" not in plan(found) and "Cartesian" not in plan(found)
+    assert rows(found) == sorted((q, d) for q, t in asked for d, text in docs if t is not None and text is not None and t in text)

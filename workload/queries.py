@@ -62,7 +62,7 @@ def verbatim_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Such a document holds every inner word of the query (the outermost ones might be
     glued to other text), so only the documents with its rarest inner word are read. A query
-    without an inner word is looked for in all texts.
+    without an inner word is looked for by its first characters.
     """
     ix, queries = index(spark, sf_dir), benchmark(spark, sf_dir)
     words = queries.select("query_id", tokens("text").alias("words")).select(
@@ -79,13 +79,29 @@ def verbatim_judgements(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = (held.join(queries, "query_id").filter(F.contains("contents", "text"))
             .select("query_id", "doc_id"))
     short = words_per_query(queries).filter("n_words < 3").select("query_id", "text")
-    size = short.agg(F.sum(F.octet_length("text") + cluster.ROW_BYTES)).first()[0] or 0
-    if size == 0:
-        return long
-    if size > cluster.BROADCAST_BYTES:
-        raise ValueError("too many queries of one or two words")
-    return long.unionByName(ix.docs.select("doc_id", "contents").join(
-        F.broadcast(short), F.contains("contents", "text")).select("query_id", "doc_id"))
+    return long.unionByName(holding_short(ix.docs.select("doc_id", "contents"), short)) if short.head(1) else long
+
+
+# So many first characters of a short query are looked up, if it has them.
+ANCHOR = 3
+
+
+def holding_short(docs: DataFrame, short: DataFrame) -> DataFrame:
+    """``(query_id, doc_id)`` of the documents that hold a query's text, by its first characters.
+
+    A document's different stretches of as many characters are joined with them, so it meets only
+    the queries that it may hold.
+    """
+    asked = short.withColumn("size", F.least(F.char_length("text"), F.lit(ANCHOR))).withColumn(
+        "anchor", F.substring("text", F.lit(1), F.col("size")))
+    size = asked.agg(F.sum(2 * F.octet_length("text") + cluster.ROW_BYTES)).first()[0]
+    sizes = [r["size"] for r in asked.select("size").distinct().collect()]  # at most ANCHOR + 1
+    # every stretch, also overlapping ones; the empty one is in every text
+    found = F.array_distinct(F.concat(*(
+        F.regexp_extract_all("contents", F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)) if n else F.array(F.lit("")) for n in sizes)))
+    met = docs.filter("contents IS NOT NULL").select("doc_id", "contents", F.explode(found).alias("anchor")).join(
+        F.broadcast(asked) if size <= cluster.BROADCAST_BYTES else asked, "anchor")
+    return met.filter(F.contains("contents", "text")).select("query_id", "doc_id")
 
 
 def words_per_query(queries: DataFrame) -> DataFrame:
