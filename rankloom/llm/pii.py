@@ -1,8 +1,9 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
 Strict patterns and looser ones propose spans. Labelers vote on every span: the strict
-pattern itself, a check of its form (Luhn, octets, digits), gazetteers, the words before it,
-and what touches it. Expectation-maximisation over the counts of vote patterns estimates how
+pattern itself, a check of its form (Luhn, octets, digits), gazetteers (top-level domains,
+networks, card issuers and calling codes, from a table or those listed here), the words before
+it, and what touches it. Expectation-maximisation over the counts of vote patterns estimates how
 reliable each labeler is for each kind; a logistic classifier over votes and length is then
 trained on the estimated labels and judges the looser spans. Spans of the strict patterns
 that pass their form always stay.
@@ -17,10 +18,11 @@ any span no classifier is needed. Other columns stay; those named like a result
 
 from __future__ import annotations
 
+import ipaddress
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
@@ -51,13 +53,17 @@ LOOSE = {
     "card": (r"[0-9]{4}[._/][0-9]{4}", r"(?<![0-9])[0-9]{4}([._/])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])"),
     "phone": (r"[0-9]{3}[ .-][0-9]{4}", r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])"),
 }
-# Gazetteers, as patterns of a span's beginning or end.
-GAZETTEER = {
-    "email": r"(?i)[.\]) ](?:com|org|net|edu|gov|info|io|de|fr|es|uk|eu|us)$",
-    "ip": r"^(?:10\.|127\.|192\.168\.|0\.|255\.).*",  # votes against
-    "card": r"^(?:4|5[1-5]|3[47]|6011|65|35|30[0-5]|36|38|2[2-7]).*",
-    "phone": r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])[^0-9]?.*",
-}
+# The entries of the gazetteers that are used where no table is given. Top-level domains
+# besides the codes of countries; networks that are no single host's; beginnings of card
+# numbers by issuer; calling codes of countries.
+DOMAINS = "com org net edu gov mil int info biz name pro aero coop museum jobs mobi travel cat tel xxx post app dev blog online site tech store shop cloud uk eu su ac".split()
+NETWORKS = ("0.0.0.0/8 10.0.0.0/8 100.64.0.0/10 127.0.0.0/8 169.254.0.0/16 172.16.0.0/12 192.0.0.0/24 192.0.2.0/24 192.88.99.0/24 "
+            "192.168.0.0/16 198.18.0.0/15 198.51.100.0/24 203.0.113.0/24 224.0.0.0/4 240.0.0.0/4").split()
+ISSUERS = "4 34 37 36 38 39 300-305 309 3528-3589 50 51-55 56-58 2221-2720 6011 60 62 63 644-649 65 67 81 2200-2204 9792".split()
+CALLING = ("1 7 20 27 30-34 36 39-41 43-49 51-58 60-66 81 82 84 86 90-95 98 211-213 216 218 220-269 290 291 297-299 350-359 370-389 "
+           "420 421 423 500-509 590-599 670 672-692 800 808 850 852 853 855 856 870 878 880-883 886 888 960-968 970-977 979 992-998").split()
+# Entries of a gazetteer table at most: they become part of the expressions.
+MOST_ENTRIES = 20_000
 # Words before a span that speak for its kind, and words that speak against any.
 CUES = {
     "email": r"mail|contact|write|reach|kontakt|correo|courriel", "ip": r"\bip\b|host|server|address|ping|login",
@@ -108,6 +114,69 @@ def _plausible(kind: str, value: Column) -> Column:
     return F.length(_digits(value)).between(10, 13)
 
 
+@dataclass(frozen=True)
+class Gazetteer:
+    """Known top-level domains, and ranges ``(digits, first, last)`` of what numbers begin with;
+    networks are ranges of 32-bit numbers, and an address in one speaks against a person's."""
+
+    domains: tuple[str, ...]
+    networks: tuple[tuple[int, int], ...]
+    issuers: tuple[tuple[int, int, int], ...]
+    calling: tuple[tuple[int, int, int], ...]
+
+    @staticmethod
+    def of(entries: dict[str, list[str]]) -> Gazetteer:
+        """From entries by kind: ``com``, ``10.0.0.0/8``, ``51`` or ``51-55``, ``1`` or ``211-213``."""
+        def begins(kind: str) -> tuple:
+            out = []
+            for entry in entries.get(kind, []):
+                first, _, last = entry.removeprefix("+").partition("-")
+                out.append((len(first), int(first), int(last or first)))
+            return tuple(sorted(out))
+
+        networks = [ipaddress.ip_network(e) for e in entries.get("ip", [])]
+        return Gazetteer(tuple(sorted({e.lower().lstrip(".") for e in entries.get("email", [])})),
+                         tuple(sorted((int(n[0]), int(n[-1])) for n in networks if n.version == 4)), begins("card"), begins("phone"))
+
+    def votes(self, kind: str, value: Column) -> Column:
+        """1 or -1 for a listed span, else 0."""
+        if kind == "email":
+            ending = F.lower(F.regexp_extract(_tail(value), r"([A-Za-z0-9-]+)$", 1))
+            return F.when(F.array_contains(F.array(*map(F.lit, self.domains)), ending), 1).otherwise(0) if self.domains else F.lit(0)
+        if kind == "ip":
+            parts = F.transform(F.split(value, r"\."), lambda p: p.try_cast("bigint"))
+            number = F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, p: acc * 256 + F.coalesce(p, F.lit(0)))
+            inside = _any(number.between(a, b) for a, b in self.networks)
+            return F.when((F.size(parts) == 4) & inside, -1).otherwise(0)
+        ranges = self.issuers if kind == "card" else self.calling
+        # a telephone number without its country's code begins with none of them
+        known = _digits(value) if kind == "card" else F.when(F.startswith(value, F.lit("+")), _digits(value))
+        return F.when(F.coalesce(_any(F.substring(known, 1, w).try_cast("int").between(a, b) & (F.length(known) >= w)
+                                      for w, a, b in ranges), F.lit(False)), 1).otherwise(0)
+
+
+def _any(tests) -> Column:
+    tests = list(tests) or [F.lit(False)]
+    while len(tests) > 1:
+        tests = [tests[i] | tests[i + 1] if i + 1 < len(tests) else tests[i] for i in range(0, len(tests), 2)]
+    return tests[0]
+
+
+def common_gazetteer(spark: SparkSession) -> Gazetteer:
+    """The entries above; the domains of countries are the codes that the JVM lists."""
+    countries = [str(c) for c in spark._jvm.java.util.Locale.getISOCountries()]
+    return Gazetteer.of({"email": DOMAINS + countries, "ip": NETWORKS, "card": ISSUERS, "phone": CALLING})
+
+
+def read_gazetteer(table: DataFrame) -> Gazetteer:
+    """From a table ``(kind, entry)``; nulls and other kinds say nothing, and too long a table is an error."""
+    rows = table.select("kind", F.trim("entry").alias("entry")).filter(F.col("kind").isin(*KINDS) & (F.length("entry") > 0)).distinct().limit(
+        MOST_ENTRIES + 1).collect()
+    if len(rows) > MOST_ENTRIES:
+        raise ValueError(f"a gazetteer holds at most {MOST_ENTRIES} entries")
+    return Gazetteer.of({k: [r.entry for r in rows if r.kind == k] for k in KINDS})
+
+
 def _spans(kind: str, text: Column, subject: Column, pattern: str, strict: bool) -> Column:
     """All matches in order, as structs with code-point offsets into ``text``."""
     pieces, found = F.split(subject, pattern, -1), F.regexp_extract_all(subject, F.lit(pattern), F.lit(0))
@@ -171,18 +240,17 @@ def _by_kind(kind: Column, of) -> Column:
     return out
 
 
-def _votes(s: Column, text: Column) -> list[Column]:
+def _votes(s: Column, text: Column, gazetteer: Gazetteer) -> list[Column]:
     """Votes of a span in the order of LABELERS (1, 0 or -1), and its length in four steps."""
     kind, value = s["kind"], s["value"]
     start = F.greatest(s["start"] - CONTEXT, F.lit(0))
     before = F.lower(F.substring(text, start + 1, s["start"] - start))
     sides = F.concat(F.when(s["start"] > 0, F.substring(text, s["start"], F.lit(1))).otherwise(""),
                      F.substring(text, s["end"] + 1, F.lit(1)))
-    listed = {k: (_tail(value) if k == "email" else value).rlike(GAZETTEER[k]) for k in KINDS}
     votes = [
         F.when(s["strict"], 1).otherwise(0),
         _by_kind(kind, lambda k: F.when(_plausible(k, value), 1).otherwise(-1)),
-        _by_kind(kind, lambda k: F.when(listed[k], -1 if k == "ip" else 1).otherwise(0)),
+        _by_kind(kind, lambda k: gazetteer.votes(k, value)),
         F.when(before.rlike(AGAINST), -1).otherwise(
             _by_kind(kind, lambda k: F.when(before.rlike(CUES[k]), 1).otherwise(0))),
         F.when(sides.rlike(r"[\p{L}\p{N}]"), -1).otherwise(1),
@@ -190,19 +258,21 @@ def _votes(s: Column, text: Column) -> list[Column]:
     return [*(v.cast("int") for v in votes), F.least(F.lit(3), F.floor(F.length(value) / 8)).cast("int")]
 
 
-def _voted(s: Column, text: Column) -> Column:
-    *votes, size = _votes(s, text)
+def _voted(s: Column, text: Column, gazetteer: Gazetteer) -> Column:
+    *votes, size = _votes(s, text, gazetteer)
     return F.struct(s["kind"].alias("kind"), *(v.alias(n) for n, v in zip(LABELERS, votes)), size.alias("size"))
 
 
 @dataclass(frozen=True)
 class Classifier:
-    """Per kind: the weights of a constant, each labeler's vote, and each length step."""
+    """Per kind: the weights of a constant, each labeler's vote, and each length step; and the
+    gazetteer that the votes were made with."""
 
     weights: dict[str, list[float]]
+    gazetteer: Gazetteer
 
     def chance(self, s: Column, text: Column) -> Column:
-        *votes, size = _votes(s, text)
+        *votes, size = _votes(s, text, self.gazetteer)
 
         def score(k: str) -> Column:
             w = self.weights[k]
@@ -249,11 +319,12 @@ def estimate(patterns: list[tuple[str, tuple[int, ...], int, int]]) -> dict[tupl
     return out
 
 
-def train(docs: DataFrame, text: str = "text") -> Classifier:
+def train(docs: DataFrame, text: str = "text", gazetteer: Gazetteer | None = None) -> Classifier:
     """Counts vote patterns over all documents, estimates their labels and fits the classifier."""
+    gazetteer = gazetteer or common_gazetteer(docs.sparkSession)
     found = propose(docs.select(F.col(text).alias("text"))).filter(F.size("base") + F.size("more") > 0)
     votes = found.select(F.explode(F.transform(
-        F.concat("base", "more"), lambda s: _voted(s, F.col("__text")))).alias("v"))
+        F.concat("base", "more"), lambda s: _voted(s, F.col("__text"), gazetteer))).alias("v"))
     counted = votes.groupBy("v").count().collect()
     patterns = [(r.v["kind"], tuple(r.v[n] for n in LABELERS), r.v["size"], r["count"]) for r in counted]
     belief = estimate(patterns)
@@ -262,7 +333,7 @@ def train(docs: DataFrame, text: str = "text") -> Classifier:
         own = [([1.0, *map(float, v), *(float(s == i) for i in range(4))], belief[k, v, s], n)
                for k, v, s, n in patterns if k == kind]
         weights[kind] = _logistic(own)
-    return Classifier(weights)
+    return Classifier(weights, gazetteer)
 
 
 def _logistic(rows: list[tuple[list[float], float, int]], rounds: int = 500) -> list[float]:

@@ -80,6 +80,28 @@ def test_looser_spans_join_the_strict_ones(spark):
     assert all(got[i] == ("", "") for i in range(80, 100))
 
 
+def test_gazetteers(spark):
+    """Listed and unlisted values; a table of the caller's own in place of the common entries."""
+    votes = [("email", "a@b.com", 1), ("email", "a@b.CO.UK", 1), ("email", "a@b.zzz", 0), ("email", "x [at] y [dot] org", 1), ("email", "a@b", 0),
+             ("ip", "10.1.2.3", -1), ("ip", "172.31.0.1", -1), ("ip", "172.32.0.1", 0), ("ip", "8.8.8.8", 0), ("ip", "ab:cd:1:2:3:4:5:6", 0),
+             ("card", "4111 1111 1111 1111", 1), ("card", "2720-9900-0000-0000", 1), ("card", "2721990000000000", 0), ("card", "1234567890123", 0),
+             ("phone", "+1 212 555 0100", 1), ("phone", "+212.555.0100", 1), ("phone", "+999 12345678", 0), ("phone", "(212) 555-0100", 0)]
+    rows = spark.createDataFrame(votes, "kind string, value string, vote int")
+
+    def got(gazetteer):
+        vote = pii._by_kind(F.col("kind"), lambda k: gazetteer.votes(k, F.col("value")))
+        return {(r.kind, r.value): r.v for r in rows.select("kind", "value", vote.alias("v")).collect()}
+
+    assert got(pii.common_gazetteer(spark)) == {(k, v): n for k, v, n in votes}
+    table = spark.createDataFrame([("email", " ZZZ "), ("email", "zzz"), ("email", None), ("ip", "8.8.0.0/16"), ("card", "1234"), ("phone", "+999"),
+                                   ("other", "x"), (None, "y")], "kind string, entry string")
+    own = got(pii.read_gazetteer(table))
+    assert {k for k, v in own.items() if v} == {("email", "a@b.zzz"), ("ip", "8.8.8.8"), ("card", "1234567890123"), ("phone", "+999 12345678")}
+    assert not any(got(pii.read_gazetteer(table.limit(0))).values())
+    docs = spark.createDataFrame([(1, "mail a@b.zzz now")], "doc_id bigint, text string")
+    assert pii.find(docs, pii.train(docs, gazetteer=pii.read_gazetteer(table))).first().base[0].kind == "email"
+
+
 def test_masking(spark):
     docs = spark.createDataFrame([("é a@b.org, 10.0.0.1!",), (None,), ("none",)], "text string")
     rows = pii.find(docs, pii.train(docs)).select(pii.masked(F.col("text"), F.col("base")).alias("m")).collect()
