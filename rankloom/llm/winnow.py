@@ -2,7 +2,9 @@
 
 A text's words (lower case, without blanks) get hashes; a k-gram's hash is a polynomial of
 its words' hashes. Every window of ``window`` k-grams gives its least hash, the rightmost of
-equal ones, and the chosen k-grams with their positions are the fingerprint. Any passage of
+equal ones, and the chosen k-grams with their positions are the fingerprint. Windows compare
+31 bits; a chosen k-gram gets 31 more from a second polynomial, so that fingerprints of different
+k-grams stay apart in a large corpus. Any passage of
 ``gram + window - 1`` words that two texts share puts a common hash into both fingerprints;
 no passage shorter than ``gram`` words does.
 
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 from rankloom import cluster
 
 GRAM, WINDOW = 5, 6
-# Fixed values of the polynomial hash: a prime below 2^31 and a base.
-PRIME, BASE = 2_147_483_647, 1_000_003
+# Fixed values of the two polynomial hashes: primes below 2^31 and a base.
+PRIME, SECOND_PRIME, BASE = 2_147_483_647, 2_147_483_629, 1_000_003
 # Positions up to this fit beside a hash in one number; a text has fewer words.
 POSITIONS = 1 << 31
 # Ids that lie in one stretch are sorted together; stretches grow until there are this many.
@@ -28,29 +30,29 @@ STRETCH_IDS, MOST_STRETCHES = 1024, 1_000_000
 
 
 def word_hashes(text: Column) -> Column:
-    """A hash below PRIME per word, in order."""
+    """A 64-bit hash per word, in order."""
     words = F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(PRIME)))
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _gram(words: Column, at: Column, gram: int) -> Column:
-    """The hash of ``gram`` words from the zero-based place ``at``."""
+def _gram(words: Column, at: Column, gram: int, prime: int = PRIME) -> Column:
+    """The hash of ``gram`` words, numbers below the prime, from the zero-based place ``at``."""
     value = F.get(words, at)
     for i in range(1, gram):
-        value = (value * F.lit(BASE) + F.get(words, at + i)) % F.lit(PRIME)
+        value = (value * F.lit(BASE) + F.get(words, at + i)) % F.lit(prime)
     return value
 
 
-def _fold_all(words: Column) -> Column:
-    return F.aggregate(words, F.size(words).cast("bigint"), lambda acc, w: (acc * F.lit(BASE) + w) % F.lit(PRIME))
+def _fold_all(words: Column, prime: int = PRIME) -> Column:
+    return F.aggregate(words, F.size(words).cast("bigint"), lambda acc, w: (acc * F.lit(BASE) + w) % F.lit(prime))
 
 
 def _no_longs() -> Column:
     return F.array().cast("array<bigint>")
 
 
-def marks(words: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """The fingerprint of word hashes, as numbers ``hash * POSITIONS + (POSITIONS - 1 - place)``.
+def _chosen(words: Column, gram: int, window: int) -> Column:
+    """The k-grams that windows choose, as numbers ``hash * POSITIONS + (POSITIONS - 1 - place)``.
 
     The least number of a window is the least hash at its rightmost place.
     """
@@ -61,6 +63,32 @@ def marks(words: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
         last < 0, F.array(_fold_all(words) * F.lit(POSITIONS) + (POSITIONS - 1))).otherwise(_minima(grams, window))
 
 
+def _below(hashes_: Column, prime: int) -> Column:
+    return F.transform(hashes_, lambda h: F.pmod(h, F.lit(prime)))
+
+
+def _bound(value: Column, of) -> Column:
+    """``of`` of an array that is made once however often it is used."""
+    return F.flatten(F.transform(F.array(value), lambda bound: F.array(of(bound))))[0]
+
+
+def marks(hashes_: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
+    """The fingerprint of word hashes: a struct of ``places`` and ``hashes``, 62 bits each."""
+    def of(h):
+        def second(words, place):
+            return F.when(F.size(words) < gram, _fold_all(words, SECOND_PRIME)).otherwise(_gram(words, place, gram, SECOND_PRIME))
+
+        def whole(chosen):
+            places = F.transform(chosen, lambda m: (POSITIONS - 1 - F.pmod(m, F.lit(POSITIONS))).cast("int"))
+            full = _bound(_below(h, SECOND_PRIME), lambda words: F.zip_with(chosen, places, lambda m, place: (
+                F.call_function("shiftright", m, F.lit(31)) * F.lit(POSITIONS) + second(words, place))))
+            return F.struct(places.alias("places"), full.alias("hashes"))
+
+        return _bound(_bound(_below(h, PRIME), lambda words: _chosen(words, gram, window)), whole)
+
+    return _bound(hashes_, of)
+
+
 def _minima(grams: Column, window: int) -> Column:
     """The distinct least numbers of all windows, in order of place."""
     # bound to a variable, so that the numbers are made once and not per window
@@ -71,19 +99,17 @@ def _minima(grams: Column, window: int) -> Column:
 
 def fingerprint(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
     """Marks of a text column."""
-    return F.flatten(F.transform(F.array(word_hashes(F.coalesce(text, F.lit("")))),
-                                 lambda words: marks(words, gram, window)))
+    return marks(word_hashes(F.coalesce(text, F.lit(""))), gram, window)
 
 
 def shown(marks_: Column) -> Column:
     """A fingerprint as text: ``place:hash``, joined by blanks."""
-    return F.array_join(F.transform(marks_, lambda m: F.concat_ws(
-        ":", (POSITIONS - 1 - F.pmod(m, F.lit(POSITIONS))).cast("string"),
-        F.hex(F.call_function("shiftright", m, F.lit(31))))), " ")
+    return F.array_join(F.zip_with(marks_["places"], marks_["hashes"], lambda p, h: F.concat_ws(
+        ":", p.cast("string"), F.hex(h))), " ")
 
 
 def hashes(marks_: Column) -> Column:
-    return F.array_distinct(F.transform(marks_, lambda m: F.call_function("shiftright", m, F.lit(31))))
+    return F.array_distinct(F.coalesce(marks_["hashes"], _no_longs()))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -153,7 +179,7 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
         F.concat(F.substring("text", F.lit(1), n - half), F.substring(
             F.coalesce("next_text", F.lit("")), F.lit(1), half)).alias("edited"))
     done = edited.withColumn("edited_marks", fingerprint(F.col("edited"), gram, window))
-    kinds = {c: hashes(F.coalesce(c, _no_longs())) for c in ("marks", "edited_marks", "next_marks")}
+    kinds = {c: hashes(F.col(c)) for c in ("marks", "edited_marks", "next_marks")}
     return done.select("doc_id", "n_chars", "edited", "marks", "edited_marks",
                        likeness(kinds["marks"], kinds["edited_marks"]).alias("near_edited"),
                        likeness(kinds["marks"], kinds["next_marks"]).alias("near_next"))

@@ -14,27 +14,29 @@ def words(text):
     return [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if w]
 
 
+def polynomial(values, prime, start=None):
+    h = values[0] % prime if start is None else start
+    for v in values[1 if start is None else 0:]:
+        h = (h * winnow.BASE + v % prime) % prime
+    return h
+
+
 def brute(values):
-    """Marks ``(hash, place)`` of word hashes."""
+    """Marks ``(hash, place)`` of word hashes: chosen by the first polynomial, told apart by both."""
     if not values:
         return []
+    both = lambda part, start=None: [polynomial(part, p, start) for p in (winnow.PRIME, winnow.SECOND_PRIME)]
     if len(values) < winnow.GRAM:
-        h = len(values)
-        for v in values:
-            h = (h * winnow.BASE + v) % winnow.PRIME
-        return [(h, 0)]
-    grams = []
-    for i in range(len(values) - winnow.GRAM + 1):
-        h = values[i]
-        for v in values[i + 1:i + winnow.GRAM]:
-            h = (h * winnow.BASE + v) % winnow.PRIME
-        grams.append(h)
+        first, second = both(values, len(values))
+        return [(first * 2 ** 31 + second, 0)]
+    grams = [both(values[i:i + winnow.GRAM]) for i in range(len(values) - winnow.GRAM + 1)]
     out = []
     for i in range(max(1, len(grams) - winnow.WINDOW + 1)):
-        part = grams[i:i + winnow.WINDOW]
+        part = [first for first, _ in grams[i:i + winnow.WINDOW]]
         place = i + max(j for j, h in enumerate(part) if h == min(part))
-        if (grams[place], place) not in out[-1:]:
-            out.append((grams[place], place))
+        mark = grams[place][0] * 2 ** 31 + grams[place][1], place
+        if mark not in out[-1:]:
+            out.append(mark)
     return out
 
 
@@ -50,7 +52,7 @@ def alike(a, b):
 def word_table(spark, texts):
     found = {w for t in texts for w in words(t)}
     rows = spark.createDataFrame([(w,) for w in sorted(found)], "w string").select(
-        "w", F.pmod(F.xxhash64("w"), F.lit(winnow.PRIME)).alias("h")).collect()
+        "w", F.xxhash64("w").alias("h")).collect()
     return {r.w: r.h for r in rows}
 
 
