@@ -194,11 +194,11 @@ class Shard:
 
 def _portions(benchmark: DataFrame, item_id: str, text: str) -> list[DataFrame]:
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).filter(
-        F.col("item").isNotNull() & F.col("text").isNotNull())
+        F.col("item").isNotNull() & F.col("text").isNotNull()).distinct()
     size = items.agg(F.sum(F.octet_length("text") + cluster.ROW_BYTES)).first()[0] or 0
     n = 1 + size // PORTION_BYTES
-    # equal ids stay together
-    return [items.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == i) if n > 1 else items
+    # texts of one id may part: what is found is put together by id
+    return [items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) if n > 1 else items
             for i in range(n)]
 
 
