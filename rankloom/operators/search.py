@@ -251,12 +251,13 @@ def stored_documents(index: Index, ranking: DataFrame) -> DataFrame:
     in the scan's filter, which then reads only their pages; else the ranking is
     moved to where the documents lie, and their texts stay in place.
     """
-    docs = index.docs.select("doc_key", "contents")
     found = ranking.select("doc_key").distinct().limit(PUSHED_DOCS + 1).collect()
     if len(found) <= PUSHED_DOCS:
-        named = docs.filter(cluster.any_of("doc_key", [r.doc_key for r in found]))
+        named = index.docs.select("doc_key", "contents").filter(cluster.any_of("doc_key", [r.doc_key for r in found]))
         return ranking.join(named, "doc_key")
-    return docs.join(ranking.hint("shuffle_hash"), "doc_key")
+    # batch by batch, as only a batch by itself lies by document
+    return reduce(DataFrame.unionByName, [
+        b.docs.select("doc_key", "contents").join(ranking.hint("shuffle_hash"), "doc_key") for b in index.batches])
 
 
 def flag_relevant(ranking: DataFrame, qrels: DataFrame) -> DataFrame:

@@ -148,6 +148,26 @@ def test_listing_fetches_the_same_texts(spark, given, monkeypatch, limit):
     assert {r["rank"] for r in got} == {1, 2} and all(r.contents == texts[r.doc_id] for r in got)
 
 
+def test_listing_over_batches_moves_no_text(spark, tmp_path, monkeypatch):
+    from rankloom import write_index
+    docs, queries = workload.documents(spark, SF), workload.benchmark(spark, SF)
+    for part, mode in ((0, "create"), (1, "append")):
+        index = write_index(docs.filter(f"doc_id % 2 = {part}"), str(tmp_path / "i"), mode, buckets=2 + part)
+    monkeypatch.setattr(search_ops, "PUSHED_DOCS", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = cluster.materialise(search(index, queries, MODEL, 5))
+        listed = search_ops.stored_documents(index, ranked)
+        # of the two sides of each batch's join only the ranking is dealt out
+        assert plan(listed).count("Exchange hashpartitioning(doc_key") == 2 and plan(listed).count("ShuffledHashJoin") == 2
+        texts = {r.doc_id: r.contents for r in docs.collect()}
+        assert sorted((r.query_id, r.doc_id) for r in listed.collect()) == sorted((r.query_id, r.doc_id) for r in ranked.collect())
+        assert all(r.contents == texts[r.doc_id] for r in listed.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("model", [Model("jm", 1.0), Model("dir", 0)])
 def test_flat_models_rank_by_insertion(given, model):
     index, queries = given
