@@ -5,8 +5,10 @@ out in several orders of the hash functions. In each order the signatures are so
 documents that stand near each other and share a long enough prefix become candidates: where
 a region is crowded only deeper prefixes bring two documents near each other, where it is
 empty a short one does. Candidates are then confirmed on their full sets, each shingle by 48
-bits of its hash. Candidates are neighbours up to ``REACH`` places away: links between documents that
-are not are found only through others. The tests hold the links against all pairs.
+bits of its hash. In a crowd the partners of a document need not be among its ``REACH`` neighbours. So
+a document that met members of a component in vain is held against all of them by their signatures,
+and confirmed with those that agree in nearly as many hashes as linked ones do (a link is missed there
+with a chance of some millionths).
 
 Equal sets are one class from the start. Sorting is a range partitioning of all orders
 together, so that a common prefix is split over tasks; the few rows at the ends of the
@@ -21,6 +23,7 @@ kept without a component. Extra columns are left out.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -42,6 +45,10 @@ HASHES, ORDERS, STEP, DEPTH = 128, 20, 6, 16
 LEAST_PREFIX, REACH = 3, 6
 # Partners that a class confirms before components are made.
 LIKELY = 2
+# Members of a component, and others that may belong to it, that meet in one block.
+BLOCK_NODES = 2_000
+# Standard deviations that a linked pair's common hashes may lie below what its similarity lets expect.
+AGREE_SLACK = 4.5
 # Sorted rows per task, and members of one class that are confirmed in one group.
 SORTED_ROWS, GROUP_MEMBERS = 200_000, 256
 # Tasks of a sort at most.
@@ -258,6 +265,55 @@ def confirmed(docs: DataFrame, pairs: DataFrame, threshold: int, size: int) -> D
     return cluster.materialise(sets.groupBy("lead", "salt").applyInArrow(_confirm(threshold), "a bigint, b bigint"))
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels(node, component)`` after further ``links(a, b)``: only components are joined anew."""
+    of = [labels.select(F.col("node").alias(end), F.col("component").alias(f"c{end}")) for end in ("a", "b")]
+    between = links.join(of[0], "a", "left").join(of[1], "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    low = components(between).select(F.col("node").alias("component"), F.col("component").alias("low"))
+    new = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct().join(
+        labels, "node", "left_anti").withColumn("component", F.col("node"))
+    return cluster.materialise(labels.unionByName(new.select("node", "component")).join(low, "component", "left").select(
+        "node", F.coalesce("low", "component").alias("component")))
+
+
+def _agree(least: int):
+    """Members and visitors of a block whose signatures have at least so many hashes in common."""
+    def run(table: pa.Table) -> pa.Table:
+        visits = table.column("visits").to_numpy(zero_copy_only=False)
+        node = table.column("node").to_numpy()
+        sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
+        own, signs = node[~visits], sign[~visits]
+        found = [(x, own[at], n[at]) for x, s in zip(node[visits], sign[visits])
+                 for n in [(signs == s).sum(axis=1)] for at in [np.nonzero((n >= least) & (own != x))[0]] if len(at)]
+        a = [np.full(len(b), x, np.int64) for x, b, _ in found]
+        join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
+        return pa.table({"a": pa.array(join(a)), "b": pa.array(join([b for _, b, _ in found])),
+                         "component": pa.array(np.full(sum(map(len, a)), table.column("component")[0].as_py(), np.int64)),
+                         "agree": pa.array(join([n.astype(np.int64) for *_, n in found]))})
+
+    return run
+
+
+def agreeing(heads: DataFrame, labels: DataFrame, borders: DataFrame, least: int) -> DataFrame:
+    """``(a, b, component, agree)``: nodes of ``borders(node, component)`` and members of that component
+    with at least ``least`` hashes in common.
+
+    Members and visitors of a component meet in blocks of bounded size, however many there are.
+    """
+    visited = borders.groupBy("component").agg(F.count("*").alias("n_visits"))
+    sized = labels.join(labels.groupBy("component").agg(F.count("*").alias("n")).join(visited, "component"), "component")
+    rows, columns = (F.floor(F.col(n) / BLOCK_NODES).cast("int") for n in ("n", "n_visits"))
+    member = sized.select("node", "component", F.lit(False).alias("visits"), F.pmod(F.xxhash64("node"), rows + 1).cast("int").alias("row"),
+                          F.explode(F.sequence(F.lit(0), columns)).alias("column"))
+    grid = sized.select("component", "n", "n_visits").distinct()
+    visitor = borders.join(grid, "component").select(
+        "node", "component", F.lit(True).alias("visits"), F.explode(F.sequence(F.lit(0), rows)).alias("row"),
+        F.pmod(F.xxhash64("node"), columns + 1).cast("int").alias("column"))
+    return member.unionByName(visitor).join(heads, "node").groupBy("component", "row", "column").applyInArrow(
+        _agree(least), "a bigint, b bigint, component bigint, agree bigint")
+
+
 def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    threshold: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
     """``(doc_id, n_shingles, class_id, component_id, kept)`` of every document.
@@ -272,9 +328,9 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     key = ["n_shingles", "key1", "key2"]
     filled = profiled.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cluster.materialise(filled.groupBy(*key).agg(F.min("doc_id").alias("class_id")))
-    heads = (filled.select("doc_id", "signature", *key).join(classes, key).filter("doc_id = class_id")
-             .select(F.col("doc_id").alias("node"), "signature"))
-    pairs = cluster.materialise(forest_candidates(cluster.materialise(heads)))
+    heads = cluster.materialise(filled.select("doc_id", "signature", *key).join(classes, key).filter("doc_id = class_id")
+                                .select(F.col("doc_id").alias("node"), "signature"))
+    pairs = cluster.materialise(forest_candidates(heads))
 
     # the likeliest partners of each class, as many as connect most of a group
     ways = pairs.withColumn("of", F.col("a")).unionByName(pairs.withColumn("of", F.col("b")))
@@ -293,8 +349,23 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # of what is left, the candidates between different components
     left = cluster.materialise(across().select("a", "b"))
-    links = links.unionByName(confirmed(source, left, threshold, size))
-    labels = components(links).withColumnRenamed("node", "class_id")
+    labels = merged(labels, confirmed(source, left, threshold, size))
+
+    # a class that met members of another component in vain: in a crowd, the partners that it has may be
+    # others than its neighbours, so it is held against all members, the likeliest first
+    for likely in (LIKELY, None):
+        met = across().select("a", "b", "ca", "cb")
+        borders = met.select(F.col("a").alias("node"), F.col("cb").alias("component")).unionByName(
+            met.select(F.col("b").alias("node"), F.col("ca").alias("component"))).distinct()
+        close = agreeing(heads, labels, borders, math.ceil(HASHES * threshold / 100 - AGREE_SLACK * math.sqrt(HASHES * threshold / 100 * (1 - threshold / 100))))
+        if likely:
+            order = Window.partitionBy("a", "component").orderBy(F.desc("agree"), "b")
+            close = close.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= likely)
+        close = cluster.materialise(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        if not close.head(1):
+            break
+        labels = merged(labels, confirmed(source, close, threshold, size))
+    labels = labels.withColumnRenamed("node", "class_id")
 
     members = profiled.drop("signature").join(classes, key, "left")
     named = F.coalesce("component", "class_id", "doc_id")

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from rankloom.llm import graph, neardup, queries
@@ -65,6 +66,26 @@ def test_groups_of_edited_copies(spark):
     check(docs, got)
 
 
+@pytest.mark.parametrize("block", [2000, 40])
+def test_lone_links_in_a_crowd(spark, monkeypatch, block):
+    """Hundreds of copies that are each near to the original alone, and some near to a single copy."""
+    monkeypatch.setattr(neardup, "BLOCK_NODES", block)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(60)]
+    texts = [base]
+    for i in range(300):
+        own = list(base)
+        own[2 + (7 * i) % 56] = f"x{i}"
+        texts.append(own)
+    for i in range(0, 300, 10):  # a second edit, next to the first one or not
+        own = list(texts[1 + i])
+        own[(2 + (7 * i) % 56 + rng.choice([1, 1, 25])) % 60] = f"y{i}"
+        texts.append(own)
+    rng.shuffle(texts)
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    check(docs, neardup.link_documents(spark.createDataFrame(docs, "doc_id bigint, text string")).collect())
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame(
         [(3, None, 1), (1, "", 1), (2, "a b", 1), (5, "A  B", 1), (9, "b a", 1), (7, "x " * 50000, 1), (8, "x x x x x x", 1),
