@@ -52,6 +52,8 @@ BLOCK_WORDS = 1_000_000
 BITS_EACH, MOST_BITS = 8, 28
 # A part with this share of all words is broadcast with its count.
 HEAVY = 10_000
+# Parts in which a language's best phrases are looked for first.
+TOP_PARTS = 64
 # Phrases that are counted again in one pass.
 RECOUNTED = 50_000
 
@@ -114,22 +116,25 @@ class Block:
 
     def __init__(self, row: dict, seed: int):
         self.number, self.langs = row["block"], row["langs"]
-        self.codes = unpack(row["codes"], np.uint32).astype(np.int64)
+        self.codes = unpack(row["codes"], np.uint32).astype(np.int32)
         joined = zstandard.ZstdDecompressor().decompress(row["words"])
         self.words = joined.split(b"\n") if joined else []
-        self.lang_of = np.repeat(unpack(row["doc_langs"], np.uint32).astype(np.int64),
+        self.lang_of = np.repeat(unpack(row["doc_langs"], np.uint32).astype(np.int32),
                                  unpack(row["sizes"], np.uint32).astype(np.int64))
-        self.breaks = np.concatenate([[0], np.cumsum(self.codes == 0)])
+        self.breaks = np.concatenate([[0], np.cumsum(self.codes == 0, dtype=np.int32)])
         digests = b"".join(xxhash.xxh3_128_digest(w, seed) for w in [b"", *self.words])
-        hashes = np.frombuffer(digests, np.uint64).reshape(-1, 2)
-        names = np.array([xxhash.xxh3_64_intdigest(name, seed) for name in self.langs], np.uint64)
-        self.lang_hash = names[self.lang_of] if len(names) else np.empty(0, np.uint64)
-        n = len(self.codes)
-        self.sums, self.back = [], []
-        for k, base in enumerate(_BASES):
-            power = np.cumprod(np.full(n, base))
-            self.back.append(np.cumprod(np.full(n, _inverse(base))))
-            self.sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes[self.codes, k] * power)]))
+        self.hashes = np.frombuffer(digests, np.uint64).reshape(-1, 2)
+        self.names = np.array([xxhash.xxh3_64_intdigest(name, seed) for name in self.langs], np.uint64)
+        self.side = None
+
+    def _prefixes(self, side: int) -> tuple[np.ndarray, np.ndarray]:
+        """Prefix polynomials of the words, and what takes their powers back; of one side at a time."""
+        if self.side is None or self.side[0] != side:
+            n, base = len(self.codes), _BASES[side]
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(self.hashes[self.codes, side] * np.cumprod(np.full(n, base)), out=sums[1:])
+            self.side = side, sums, np.cumprod(np.full(n, _inverse(base)))
+        return self.side[1:]
 
     def whole(self, n: int) -> np.ndarray:
         """Where ``n`` words in a row stand, in one piece."""
@@ -137,12 +142,22 @@ class Block:
             return np.empty(0, bool)
         return self.breaks[n:] == self.breaks[:-n]
 
-    def keys(self, n: int, side: int, at: np.ndarray | None = None) -> np.ndarray:
-        """One half of the fingerprint of the n-grams at all places, or at some."""
-        at = np.arange(max(0, len(self.codes) - n + 1)) if at is None else at
-        x = (self.sums[side][at + n] - self.sums[side][at]) * self.back[side][at]
-        x = (x + self.lang_hash[at] + np.uint64(n)) * _FINISH
-        return ((x ^ (x >> np.uint64(31))) * _BASES[0] ^ (x >> np.uint64(29))).view(np.int64)
+    def keys(self, n: int, side: int, at: np.ndarray) -> np.ndarray:
+        """One half of the fingerprints of the n-grams at some places."""
+        sums, back = self._prefixes(side)
+        x = sums[at + n]
+        x -= sums[at]
+        x *= back[at]
+        if len(at):
+            x += self.names[self.lang_of[at]]
+        x += np.uint64(n)
+        x *= _FINISH
+        out = x >> np.uint64(31)
+        out ^= x
+        out *= _BASES[0]
+        x >>= np.uint64(29)
+        out ^= x
+        return out.view(np.int64)
 
 
 def _rows(batches):
@@ -158,9 +173,9 @@ def _grams(n: int, seed: int, frequent):
             block = Block(row.to_pylist()[0], seed)
             kept = block.whole(n)
             if frequent is not None:
-                maybe = frequent.value.has(block.keys(n - 1, 0))
+                maybe = frequent.value.has(block.keys(n - 1, 0, np.arange(max(0, len(block.codes) - n + 2), dtype=np.int32)))
                 kept = kept & maybe[:-1] & maybe[1:]
-            at = np.nonzero(kept)[0]
+            at = np.nonzero(kept)[0].astype(np.int32)
             key, check = block.keys(n, 0, at), block.keys(n, 1, at)
             order = np.argsort(key)
             key, check, at = key[order], check[order], at[order]
@@ -168,7 +183,7 @@ def _grams(n: int, seed: int, frequent):
             first = np.nonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])]))[0] if len(at) else at
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key[first]), pa.array(check[first]), pa.array(np.diff(np.append(first, len(at))).astype(np.int64)),
-                 pa.array(np.full(len(first), block.number, np.int64)), pa.array(at[first].astype(np.int32))],
+                 pa.array(np.full(len(first), block.number, np.int64)), pa.array(at[first])],
                 names=["key", "check", "n", "block", "at"])
 
     return run
@@ -213,7 +228,7 @@ def _read_back(seed: int):
             length, place = (pc.struct_field(wanted, c).to_numpy() for c in ("length", "at"))
             for n in np.unique(length):
                 pick = np.nonzero(length == n)[0]
-                at = place[pick].astype(np.int64)
+                at = place[pick]
                 codes = np.stack([block.codes[at + j] for j in range(n)], axis=1).tolist()
                 parts = [[block.keys(m, side, at + i) for i, m in _part_places(n)] for side in (0, 1)]
                 lists = [pa.ListArray.from_arrays(np.arange(0, len(p) * len(at) + 1, len(p), dtype=np.int32),
@@ -333,8 +348,12 @@ def _mine(blocks: DataFrame, least: int, top: int, longest: int, seed: int) -> D
         """``of(k)`` of the first cut with the score."""
         return F.coalesce(*(F.when(_score(k, F.col("length")) == F.col("score"), of(k)) for k in range(1, longest)))
 
-    by = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
-    best = scored.withColumn("place", F.rank().over(by)).filter(F.col("place") <= top).select(
+    # the best of a language's parts first, so that no task gets a share of all its phrases
+    parts = scored.withColumn("part", F.pmod("key", F.lit(TOP_PARTS)))
+    for by in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"))
+        parts = parts.withColumn("place", F.rank().over(order)).filter(F.col("place") <= top)
+    best = parts.select(
         "lang", "key", "check", "a", weakest(lambda k: F.col(f"l{k}")).alias("l"), weakest(lambda k: F.col(f"r{k}")).alias("r"),
         weakest(F.lit).alias("cut"), "score")
     named = best.join(texts.select("key", "check", "phrase"), ["key", "check"])

@@ -56,7 +56,7 @@ def texts(seed, count=150):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_tangled_texts(spark, monkeypatch, seed):
     monkeypatch.setattr(phrases, "BLOCK_WORDS", 150)
     rows = texts(seed)
@@ -95,9 +95,10 @@ def test_fingerprints():
            "words": phrases.zstandard.ZstdCompressor().compress(b"p\nq")}
     block = phrases.Block(row, 0)
     for side in (0, 1):
-        two = block.keys(2, side)
+        two = block.keys(2, side, np.arange(9))
         assert two[0] == two[2] != two[1] and two[5] == two[7] != two[0]
-        assert block.keys(3, side)[0] != block.keys(3, side)[1] and len(block.keys(11, side)) == 0
+        three = block.keys(3, side, np.array([0, 1, 5]))
+        assert three[0] != three[1] and three[0] != three[2] and len(block.keys(11, side, np.arange(0))) == 0
     assert block.whole(2).tolist() == [True, True, True, False, False, True, True, True, False]
 
 
