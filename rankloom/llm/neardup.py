@@ -6,9 +6,8 @@ documents that stand near each other and share a long enough prefix become candi
 a region is crowded only deeper prefixes bring two documents near each other, where it is
 empty a short one does. Candidates are then confirmed on their full sets, each shingle by 48
 bits of its hash. In a crowd the partners of a document need not be among its ``REACH`` neighbours. So
-a document that met members of a component in vain is held against all of them by their signatures,
-and confirmed with those that agree in nearly as many hashes as linked ones do (a link is missed there
-with a chance of some millionths).
+a document that met members of a component in vain is held against all of them on full sets, in
+blocks that give nothing but links.
 
 Equal sets are one class from the start. Sorting is a range partitioning of all orders
 together, so that a common prefix is split over tasks; the few rows at the ends of the
@@ -23,7 +22,6 @@ kept without a component. Extra columns are left out.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 import numpy as np
@@ -46,9 +44,7 @@ LEAST_PREFIX, REACH = 3, 6
 # Partners that a class confirms before components are made.
 LIKELY = 2
 # Members of a component, and others that may belong to it, that meet in one block.
-BLOCK_NODES = 2_000
-# Standard deviations that a linked pair's common hashes may lie below what its similarity lets expect.
-AGREE_SLACK = 4.5
+BLOCK_NODES = 500
 # Sorted rows per task, and members of one class that are confirmed in one group.
 SORTED_ROWS, GROUP_MEMBERS = 200_000, 256
 # Tasks of a sort at most.
@@ -207,23 +203,35 @@ def forest_candidates(classes: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("prefix").alias("prefixes"))
 
 
-def _sets_for(size: int):
+def _sets_for(size: int, fields: dict[str, pa.DataType]):
+    """The set of every text once per target; ``fields`` are those of a target."""
     def run(batches):
         for batch in batches:
             for piece in slices(batch, "text"):
                 sets = shingle_sets(column_bytes(piece, "text"), size)
-                rows = [(g, s, doc, n, packed) for doc, n, packed, targets in zip(
-                    piece.column(0).to_pylist(), map(len, sets),
+                rows = [(*(t[f] for f in fields), doc, len(s), packed) for doc, s, packed, targets in zip(
+                    piece.column(0).to_pylist(), sets,
                     (pack(np.diff(np.sort(s >> np.uint64(16)), prepend=np.uint64(0))) for s in sets),
-                    piece.column(2).to_pylist()) for g, s in ((t["lead"], t["salt"]) for t in targets)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))]
-                    if rows else [pa.array([], t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())],
-                    names=["lead", "salt", "node", "n", "items"])
+                    piece.column(2).to_pylist()) for t in targets]
+                kinds = [*fields.values(), pa.int64(), pa.int64(), pa.binary()]
+                columns = list(zip(*rows)) if rows else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)],
+                                                 names=[*fields, "node", "n", "items"])
 
     return run
 
 
+def sent_sets(docs: DataFrame, needs: DataFrame, size: int, fields: dict[str, pa.DataType]) -> DataFrame:
+    """``(fields, node, n, items)``: the sets of the nodes of ``needs(fields, node)``."""
+    # a set is sent to as many targets as it has rows there
+    wanted = cluster.materialise(needs.groupBy("node").agg(F.collect_list(F.struct(*fields)).alias("targets")))
+    entries = wanted.agg(F.count("*"), F.sum(F.size("targets"))).first()
+    small = (entries[0] * cluster.ROW_BYTES + (entries[1] or 0) * 24) <= cluster.BROADCAST_BYTES
+    schema = ", ".join(f"{f} {needs.schema[f].dataType.simpleString()}" for f in fields)
+    return docs.join(F.broadcast(wanted) if small else wanted, F.col("doc_id") == F.col("node")).select(
+        "doc_id", "text", "targets").mapInArrow(_sets_for(size, fields), f"{schema}, node bigint, n bigint, items binary")
+
+
 def _confirm(threshold: int):
     def run(table: pa.Table) -> pa.Table:
         lead = table.column("lead")[0].as_py()
@@ -248,20 +256,12 @@ def confirmed(docs: DataFrame, pairs: DataFrame, threshold: int, size: int) -> D
     A set goes to the group of every partner that it is compared with. The members of a
     partner with many of them are dealt over several groups, which each get the partner's set.
     """
-    spark = docs.sparkSession
     many = pairs.groupBy("a").agg(F.count("*").alias("n"))
     salt = F.pmod(F.xxhash64("b"), F.floor(F.col("n") / GROUP_MEMBERS) + 1).cast("int")
     salts = cluster.materialise(pairs.join(many, "a").select(F.col("a").alias("lead"), "b", salt.alias("salt")))
     needs = salts.select("lead", "salt", F.col("b").alias("node")).unionByName(
         salts.select("lead", "salt", F.col("lead").alias("node")).distinct())
-    # the groups of one set: no more than its partners, which the forest bounds
-    wanted = cluster.materialise(
-        needs.groupBy("node").agg(F.collect_list(F.struct("lead", "salt")).alias("targets")))
-    entries = wanted.agg(F.count("*"), F.sum(F.size("targets"))).first()
-    small = (entries[0] * cluster.ROW_BYTES + (entries[1] or 0) * 16) <= cluster.BROADCAST_BYTES
-    side = F.broadcast(wanted) if small else wanted
-    sets = docs.join(side, F.col("doc_id") == F.col("node")).select("doc_id", "text", "targets").mapInArrow(
-        _sets_for(size), "lead bigint, salt int, node bigint, n bigint, items binary")
+    sets = sent_sets(docs, needs, size, {"lead": pa.int64(), "salt": pa.int32()})
     return cluster.materialise(sets.groupBy("lead", "salt").applyInArrow(_confirm(threshold), "a bigint, b bigint"))
 
 
@@ -277,41 +277,52 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
         "node", F.coalesce("low", "component").alias("component")))
 
 
-def _agree(least: int):
-    """Members and visitors of a block whose signatures have at least so many hashes in common."""
+def _block_links(threshold: int):
+    """For every visitor of a block a member whose full set is similar enough, if there is one."""
     def run(table: pa.Table) -> pa.Table:
-        visits = table.column("visits").to_numpy(zero_copy_only=False)
-        node = table.column("node").to_numpy()
-        sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
-        own, signs = node[~visits], sign[~visits]
-        found = [(x, own[at], n[at]) for x, s in zip(node[visits], sign[visits])
-                 for n in [(signs == s).sum(axis=1)] for at in [np.nonzero((n >= least) & (own != x))[0]] if len(at)]
-        a = [np.full(len(b), x, np.int64) for x, b, _ in found]
-        join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
-        return pa.table({"a": pa.array(join(a)), "b": pa.array(join([b for _, b, _ in found])),
-                         "component": pa.array(np.full(sum(map(len, a)), table.column("component")[0].as_py(), np.int64)),
-                         "agree": pa.array(join([n.astype(np.int64) for *_, n in found]))})
+        visits = table.column("visits").to_pylist()
+        rows = [(node, np.cumsum(unpack(items, np.uint64))) for node, items in zip(
+            table.column("node").to_pylist(), table.column("items").to_pylist())]
+        members = [r for r, v in zip(rows, visits) if not v]
+        found = []
+        if members:
+            sizes = np.array([len(s) for _, s in members])
+            nodes = np.array([node for node, _ in members])
+            flat = np.concatenate([s for _, s in members])
+            order = np.argsort(flat, kind="stable")
+            owner, flat = np.repeat(np.arange(len(members)), sizes)[order], flat[order]
+            for node, own in (r for r, v in zip(rows, visits) if v):
+                low = np.searchsorted(flat, own, "left")
+                many = np.searchsorted(flat, own, "right") - low
+                places = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+                both = np.bincount(owner[places], minlength=len(members))
+                linked = nodes[(100 * both >= threshold * (len(own) + sizes - both)) & (nodes != node)]
+                if len(linked):
+                    found.append((node, int(linked.min())))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return run
 
 
-def agreeing(heads: DataFrame, labels: DataFrame, borders: DataFrame, least: int) -> DataFrame:
-    """``(a, b, component, agree)``: nodes of ``borders(node, component)`` and members of that component
-    with at least ``least`` hashes in common.
+def border_links(docs: DataFrame, labels: DataFrame, borders: DataFrame, threshold: int, size: int) -> DataFrame:
+    """``(a, b)``: the nodes of ``borders(node, component)`` that a member of that component is similar
+    enough to, with one such member or a few.
 
-    Members and visitors of a component meet in blocks of bounded size, however many there are.
+    Members and visitors of a component meet in blocks of bounded size, however many there are, and
+    are compared there on their full sets; nothing but links leaves a block.
     """
     visited = borders.groupBy("component").agg(F.count("*").alias("n_visits"))
-    sized = labels.join(labels.groupBy("component").agg(F.count("*").alias("n")).join(visited, "component"), "component")
+    sizes = labels.groupBy("component").agg(F.count("*").alias("n")).join(visited, "component")
     rows, columns = (F.floor(F.col(n) / BLOCK_NODES).cast("int") for n in ("n", "n_visits"))
-    member = sized.select("node", "component", F.lit(False).alias("visits"), F.pmod(F.xxhash64("node"), rows + 1).cast("int").alias("row"),
-                          F.explode(F.sequence(F.lit(0), columns)).alias("column"))
-    grid = sized.select("component", "n", "n_visits").distinct()
-    visitor = borders.join(grid, "component").select(
+    member = labels.join(sizes, "component").select(
+        "node", "component", F.lit(False).alias("visits"), F.pmod(F.xxhash64("node"), rows + 1).cast("int").alias("row"),
+        F.explode(F.sequence(F.lit(0), columns)).alias("column"))
+    visitor = borders.join(sizes, "component").select(
         "node", "component", F.lit(True).alias("visits"), F.explode(F.sequence(F.lit(0), rows)).alias("row"),
         F.pmod(F.xxhash64("node"), columns + 1).cast("int").alias("column"))
-    return member.unionByName(visitor).join(heads, "node").groupBy("component", "row", "column").applyInArrow(
-        _agree(least), "a bigint, b bigint, component bigint, agree bigint")
+    sets = sent_sets(docs, member.unionByName(visitor), size,
+                     {"component": pa.int64(), "row": pa.int32(), "column": pa.int32(), "visits": pa.bool_()})
+    return cluster.materialise(sets.groupBy("component", "row", "column").applyInArrow(_block_links(threshold), "a bigint, b bigint"))
 
 
 def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -348,23 +359,18 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 .filter("ca <> cb"))
 
     # of what is left, the candidates between different components
-    left = cluster.materialise(across().select("a", "b"))
-    labels = merged(labels, confirmed(source, left, threshold, size))
+    left = cluster.materialise(across())
+    labels = merged(labels, confirmed(source, left.select("a", "b"), threshold, size))
 
     # a class that met members of another component in vain: in a crowd, the partners that it has may be
-    # others than its neighbours, so it is held against all members, the likeliest first
-    for likely in (LIKELY, None):
-        met = across().select("a", "b", "ca", "cb")
-        borders = met.select(F.col("a").alias("node"), F.col("cb").alias("component")).unionByName(
-            met.select(F.col("b").alias("node"), F.col("ca").alias("component"))).distinct()
-        close = agreeing(heads, labels, borders, math.ceil(HASHES * threshold / 100 - AGREE_SLACK * math.sqrt(HASHES * threshold / 100 * (1 - threshold / 100))))
-        if likely:
-            order = Window.partitionBy("a", "component").orderBy(F.desc("agree"), "b")
-            close = close.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= likely)
-        close = cluster.materialise(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        if not close.head(1):
-            break
-        labels = merged(labels, confirmed(source, close, threshold, size))
+    # others than its neighbours, so it is held against all members. A component's name is a node of it
+    now = [labels.select(F.col("node").alias(c), F.col("component").alias(f"now_{c}")) for c in ("ca", "cb")]
+    apart = left.join(now[0], "ca", "left").join(now[1], "cb", "left").select(
+        "a", "b", F.coalesce("now_ca", "ca").alias("ca"), F.coalesce("now_cb", "cb").alias("cb")).filter("ca <> cb")
+    borders = cluster.materialise(apart.select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.col("cb").alias("component")),
+        F.struct(F.col("b").alias("node"), F.col("ca").alias("component")))).alias("x")).select("x.node", "x.component").distinct())
+    labels = merged(labels, border_links(source, labels, borders, threshold, size))
     labels = labels.withColumnRenamed("node", "class_id")
 
     members = profiled.drop("signature").join(classes, key, "left")

@@ -66,7 +66,7 @@ def test_groups_of_edited_copies(spark):
     check(docs, got)
 
 
-@pytest.mark.parametrize("block", [2000, 40])
+@pytest.mark.parametrize("block", [500, 40])
 def test_lone_links_in_a_crowd(spark, monkeypatch, block):
     """Hundreds of copies that are each near to the original alone, and some near to a single copy."""
     monkeypatch.setattr(neardup, "BLOCK_NODES", block)
