@@ -1,10 +1,10 @@
 """Match, score, rank and list.
 
 Every batch of an index is matched and summed where its postings lie, as no document is in
-two of them. Where a query set has very many matches, most of them are never summed: a few
-rare terms rank some documents first, whose k-th best score no document of the result is
-below; the terms that cannot reach it together are then only looked up in documents that
-the other terms bring near enough. Bounds are exact, so the ranking is the same.
+two of them. Where a query set has very many matches, a share of the documents is ranked
+first, whose k-th best score no document of the result is below: of all the sums, only those
+that reach it become rows. They are made for so many queries at a time as a task can hold.
+Bounds are exact, so the ranking is the same.
 """
 
 from __future__ import annotations
@@ -32,9 +32,11 @@ PUSHED_DOCS = 1000
 # no more terms than this are ever split.
 PIECE_POSTINGS, MOST_SPLIT = 1_000_000, 500_000
 # Matches per bucket, at most, that are all summed and sorted.
-FEW_MATCHES = 20_000_000
-# Matches per query of the rare terms that set the bound.
-PILOT_MATCHES = 100_000
+FEW_MATCHES = 2_000_000
+# The bound is set by one of so many documents, but by at least so many matches a query, if there are.
+PILOT_SHARE, PILOT_MATCHES = 64, 2_000
+# What a task's sums may take, in bytes, and what one takes by itself and for each model.
+HELD_BYTES, SUM_BYTES, MODEL_BYTES = 300_000_000, 200, 50
 # Sums in another order, and rounding, may differ by less than this.
 SLACK = 5e-6
 
@@ -49,6 +51,9 @@ class QuerySide:
     small: bool
     few: bool  # matches
     step: int = PIECE_POSTINGS
+    texts: int = 0
+    doc_count: int = 0
+    buckets: int = 1
 
     def split_terms(self) -> DataFrame:
         """``(term, pieces)`` of the terms that are split, each in proportion to its postings."""
@@ -69,6 +74,27 @@ class QuerySide:
     def match(self) -> DataFrame:
         return reduce(DataFrame.unionByName, map(self.match_part, self.parts))
 
+    def score_part(self, postings: DataFrame, added: Sequence[Column]) -> DataFrame:
+        """``match_part`` with ``added``, which is worked out once per posting, however many queries ask for it."""
+        if not self.small:
+            return self.match_part(postings).select("*", *added)
+        terms = self.weighted.select("term", "p", "idf").distinct()
+        scored = postings.join(F.broadcast(terms), "term").select("term", *DOC, *added)
+        return scored.join(F.broadcast(self.weighted.drop("p", "idf", "df", "ctf")), "term")
+
+    def pilot(self) -> QuerySide:
+        """The same over a share of the documents."""
+        share = max(1, min(PILOT_SHARE, self.doc_count // max(1, PILOT_MATCHES)))
+        chosen = F.pmod(F.xxhash64("doc_key"), F.lit(share)) == 0
+        return replace(self, parts=tuple(part.filter(chosen) for part in self.parts))
+
+    def slices(self, models: int, keys: Sequence[str]) -> list[QuerySide]:
+        """The queries in so many portions that a task can hold the sums of one."""
+        held = self.texts * (SUM_BYTES + MODEL_BYTES * models) * self.doc_count // max(1, self.buckets)
+        n = max(1, -(-held // HELD_BYTES))
+        own = F.pmod(F.xxhash64(*keys), F.lit(n))
+        return [replace(self, weighted=self.weighted.filter(own == i)) for i in range(n)] if n > 1 else [self]
+
 
 def query_side(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_id",)) -> QuerySide:
     """Sizes the query set, and finds its terms' statistics in all batches of the index.
@@ -79,7 +105,8 @@ def query_side(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_i
     """
     terms = query_terms(queries, keys)
     # words and bytes of the texts: upper bounds of the terms' rows and characters
-    words, chars = queries.agg(F.sum(F.size(tokens("text"))), F.sum(F.octet_length("text"))).first()
+    words, chars, texts = queries.agg(
+        F.sum(F.size(tokens("text"))), F.sum(F.octet_length("text")), F.count("*")).first()
     rows = words or 0
     small = (chars or 0) + rows * cluster.ROW_BYTES <= cluster.BROADCAST_BYTES
     stats, parts = index.term_stats, [b.postings for b in index.batches]
@@ -105,7 +132,9 @@ def query_side(index: Index, queries: DataFrame, keys: Sequence[str] = ("query_i
         step = max(step, -(-(matches or 0) // max(n, 1)), -(-index.total_terms // MOST_SPLIT))
     # no term has more postings than there are documents
     few = rows * index.doc_count <= FEW_MATCHES * index.buckets
-    return QuerySide(weighted, tuple(parts), rows, small, few, step)
+    if small and not few:  # read by every portion
+        weighted = cluster.materialise(weighted.coalesce(1))
+    return QuerySide(weighted, tuple(parts), rows, small, few, step, texts, index.doc_count, index.buckets)
 
 
 MATCHED = ("term", *DOC, "tf", "doc_len", "qtf", "df", "ctf", "p", "idf")
@@ -123,10 +152,10 @@ def scores(side: QuerySide, models: Sequence[Model],
     All models are summed in one pass over the matches. The postings are spread by
     document, so the sum needs no shuffle after a broadcast match.
     """
-    sums = [F.sum(F.col("qtf") * model.term_score()).alias(f"s{i}")
-            for i, model in enumerate(models)]
+    added = [model.term_score().alias(f"a{i}") for i, model in enumerate(models)]
+    sums = [F.sum(F.col("qtf") * F.col(f"a{i}")).alias(f"s{i}") for i in range(len(models))]
     return reduce(DataFrame.unionByName, [
-        side.match_part(part).groupBy(*keys, *DOC).agg(*sums) for part in side.parts])
+        side.score_part(part, added).groupBy(*keys, *DOC).agg(*sums) for part in side.parts])
 
 
 def top_k(scored: DataFrame, k: int, keys: Sequence[str] = ("query_id",)) -> DataFrame:
@@ -155,66 +184,56 @@ def contenders(side: QuerySide, models: Sequence[Model], k: int,
     if side.few or not side.small or side.rows * n * cluster.ROW_BYTES > cluster.BROADCAST_BYTES:
         every = scores(side, models, keys)
         return every.select("*", *(F.lit(None).cast("double").alias(f"t{i}") for i in range(n)))
-    terms, limits = term_split(side, models, k, keys)
-    leading = replace(side, weighted=terms.filter("NOT spare"))
-    near = scores(leading, models, keys).join(F.broadcast(limits), list(keys), "left").filter(_each(
-        lambda i: F.col(f"t{i}").isNull() | (F.col(f"s{i}") + F.col(f"r{i}") >= F.col(f"t{i}")), n))
-    sums = [f"s{i}" for i in range(n)]
-    near = cluster.materialise(near.select(*keys, *DOC, *sums))
-
-    # the spare terms of those documents alone, which are moved to where their postings lie
-    asked = near.groupBy("doc_key").agg(F.collect_set(F.struct(*keys)).alias("asked")).hint("shuffle_hash")
-    rest = [part.join(asked, "doc_key").join(F.broadcast(terms.filter("spare")), "term")
-            .filter(F.array_contains("asked", F.struct(*keys)))
-            .select(*keys, *DOC, *((F.col("qtf") * m.term_score()).alias(f"s{i}") for i, m in enumerate(models)))
-            for part in side.parts]
-    whole = reduce(DataFrame.unionByName, [near, *rest]).groupBy(*keys, *DOC).agg(*(F.sum(c).alias(c) for c in sums))
-    return whole.join(F.broadcast(limits.drop(*(f"r{i}" for i in range(n)))), list(keys), "left").filter(
+    limits = reached(side, models, k, keys)
+    every = reduce(DataFrame.unionByName, [scores(own, models, keys) for own in side.slices(n, keys)])
+    return every.join(F.broadcast(limits), list(keys), "left").filter(
         _each(lambda i: F.col(f"t{i}").isNull() | (F.col(f"s{i}") >= F.col(f"t{i}")), n))
 
 
+def reached(side: QuerySide, models: Sequence[Model], k: int, keys: Sequence[str]) -> DataFrame:
+    """Per query the scores t0, .. that its k-th best document reaches at least: the k-th best
+    of a share of the documents, which no other documents can lower."""
+    n, pilot = len(models), side.pilot()
+    summed = reduce(DataFrame.unionByName, [scores(own, models, keys) for own in pilot.slices(n, keys)])
+    ranked = summed.select(*keys, *DOC, F.posexplode(F.array(*(F.col(f"s{i}") for i in range(n)))).alias("model", "score"))
+    last = top_k(ranked, k, (*keys, "model")).filter(F.col("rank") == k)
+    return cluster.materialise(last.groupBy(*keys).agg(*(
+        (F.max(F.when(F.col("model") == i, F.col("score"))) - SLACK).alias(f"t{i}") for i in range(n))))
+
+
 def term_split(side: QuerySide, models: Sequence[Model], k: int, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """The query terms, ``spare`` or not, and per query the scores t0, .. to reach and what the
     spare terms can add to each: r0, ..
 
-    A query's rarest terms rank the documents that hold them. Term scores are never
-    negative, so the k-th best of those sums is one that the k-th best document reaches. Terms
-    are spare as long as what they can add together, by the extremes of their postings, is less.
+    Terms are spare as long as what they can add together, by the extremes of their postings, is
+    less than the k-th best document reaches: a document that holds no other term is not among them.
     """
     n = len(models)
-    terms = cluster.materialise(side.weighted.select(
-        "*", *((F.col("qtf") * m.bound()).alias(f"u{i}") for i, m in enumerate(models))))
-    rarer = Window.partitionBy(*keys).orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("df").over(rarer), F.lit(0))
-    rare = terms.withColumn("before", before).filter((F.col("before") == 0) | (F.col("before") + F.col("df") <= PILOT_MATCHES))
-    summed = scores(replace(side, weighted=rare.drop("before")), models, keys)
-    ranked = summed.select(*keys, *DOC, F.posexplode(F.array(*(F.col(f"s{i}") for i in range(n)))).alias("model", "score"))
-    last = top_k(ranked, k, (*keys, "model")).filter(F.col("rank") == k)
-    reached = cluster.materialise(last.groupBy(*keys).agg(*(
-        (F.max(F.when(F.col("model") == i, F.col("score"))) - SLACK).alias(f"t{i}") for i in range(n))))
-
+    terms = side.weighted.select("*", *((F.col("qtf") * m.bound()).alias(f"u{i}") for i, m in enumerate(models)))
+    limits = reached(side, models, k, keys)
     lower = Window.partitionBy(*keys).orderBy("u0", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     least = _each(lambda i: F.coalesce(F.sum(f"u{i}").over(lower) < F.col(f"t{i}"), F.lit(False)), n, Column.__and__)
-    split = cluster.materialise(terms.join(F.broadcast(reached), list(keys), "left").withColumn("spare", least).drop(
+    split = cluster.materialise(terms.join(F.broadcast(limits), list(keys), "left").withColumn("spare", least).drop(
         *(f"t{i}" for i in range(n))))
     added = split.filter("spare").groupBy(*keys).agg(*(F.sum(f"u{i}").alias(f"r{i}") for i in range(n)))
-    limits = reached.join(added, list(keys), "left").fillna(0.0, [f"r{i}" for i in range(n)])
-    return split, limits
+    return split, limits.join(added, list(keys), "left").fillna(0.0, [f"r{i}" for i in range(n)])
 
 
 def first_matched(side: QuerySide, k: int, keys: Sequence[str]) -> DataFrame:
     """``(keys, document)`` of at least the first ``k`` matched documents in order of insertion.
 
-    The k-th of the documents that the rarest terms match bounds what has to be looked at.
+    The k-th that matches of a share of the documents bounds what has to be looked at.
     """
     place = F.struct("batch_id", "doc_id", "doc_key")
-    rarer = Window.partitionBy(*keys).orderBy("df", "term")
-    rarest = side.weighted.withColumn("nth", F.row_number().over(rarer)).filter("nth = 1").drop("nth")
     order = Window.partitionBy(*keys).orderBy("place")
-    last = (replace(side, weighted=rarest).match().select(*keys, place.alias("place"))
-            .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") == k).select(*keys, F.col("place").alias("last")))
-    near = [side.match_part(part).join(F.broadcast(last), list(keys), "left").filter(F.col("last").isNull() | (place <= F.col("last")))
-            .select(*keys, *DOC).distinct() for part in side.parts]
+    matched = reduce(DataFrame.unionByName, [
+        own.match_part(part).select(*keys, *DOC).distinct() for own in side.pilot().slices(0, keys) for part in own.parts])
+    last = (matched.select(*keys, place.alias("place"))
+            .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+            .filter(F.col("rank") == k).select(*keys, F.col("place").alias("last")))
+    last = cluster.materialise(last)
+    near = [own.match_part(part).join(F.broadcast(last), list(keys), "left").filter(F.col("last").isNull() | (place <= F.col("last")))
+            .select(*keys, *DOC).distinct() for own in side.slices(0, keys) for part in own.parts]
     return reduce(DataFrame.unionByName, near)
 
 

@@ -30,8 +30,9 @@ MODES = ("create", "append", "create_or_append")
 DOC_COLUMNS = "batch_id INT, doc_key BIGINT, doc_id BIGINT, contents STRING"
 POSTING_COLUMNS = ("term STRING, batch_id INT, doc_key BIGINT, doc_id BIGINT, tf INT, "
                    "doc_len INT")
-# Text per bucket when the number of buckets is left open, and the most that Spark allows.
-BUCKET_BYTES = 512 * 1024 * 1024
+# Text per bucket when the number of buckets is left open, and the most that Spark allows. A task
+# counts the words of a bucket in memory, and a search sums its documents' scores there.
+BUCKET_BYTES = 16 * 1024 * 1024
 MAX_BUCKETS = 100_000
 # Compressed files hold about so many times their size in text.
 FILE_BYTES_TO_TEXT = 2
