@@ -32,17 +32,28 @@ HELD_NGRAMS = 500_000
 MOST_LANGUAGES = 5_000
 
 # Letters are what Unicode calls so (category L): the characters of words without number signs as in "½ Ⅷ ²".
+# The signs make a class that is slow to test, so they are looked for in what the words hold.
 _NUMBER_SIGNS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and unicodedata.category(c)[0] == "N")
+_IS_SIGN = np.zeros(sys.maxunicode + 1, np.bool_)
+_IS_SIGN[[ord(c) for c in _NUMBER_SIGNS]] = True
+PLAIN = re.compile(r"[^\W\d_]+")
 LETTERS = re.compile(rf"[^\W\d_{_NUMBER_SIGNS}]+")
 STEP_BYTES = 1 << 20
 
 
+def _letters(words: re.Pattern, text: str) -> np.ndarray:
+    """The characters of the words, with blanks around each."""
+    return np.frombuffer(f" {' '.join(words.findall(text))} ".encode("utf-32-le"), np.uint32).astype(np.int64)
+
+
 def ngram_codes(text: str | None) -> np.ndarray:
     """Every 1- to 3-gram of the padded words, as 21 bits per character."""
-    words = LETTERS.findall((text or "").lower())
-    if not words:
+    lowered = (text or "").lower()
+    c = _letters(PLAIN, lowered)
+    if not lowered.isascii() and _IS_SIGN[c].any():
+        c = _letters(LETTERS, lowered)
+    if len(c) < 3:
         return np.empty(0, np.int64)
-    c = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), np.uint32).astype(np.int64)
     pairs = c[:-1] << 21 | c[1:]
     triples = pairs[:-1] << 21 | c[2:]
     # a blank in the middle would join two words
