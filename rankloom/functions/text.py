@@ -44,7 +44,8 @@ MAX_WORD = 255
 _START = rf"[[\p{{L}}\p{{Nl}}&&[^{_APART}]]{DIGIT}]"
 _REST = rf"[[\p{{L}}\p{{Nl}}&&[^{_APART}]]{DIGIT}{CONNECTOR}{EXTENDER}]"
 # Plain letters are tried first, as the full classes are slow to test.
-_RUN = rf"[a-z0-9_]*+{_REST}*+"
+_PLAIN = r"a-z0-9\u00DF-\u00F6\u00F8-\u00FF"
+_RUN = rf"[{_PLAIN}_]*+{_REST}*+"
 _JOINT = (rf"(?=\S)(?:(?<=[[\p{{L}}&&[^{_APART}]]\p{{M}}]){INSIDE_WORD}(?={LETTER})"
           rf"|(?<={DIGIT}){INSIDE_NUMBER}(?={DIGIT}))")
 _KATAKANA = rf"[{KATAKANA}][{KATAKANA}{EXTENDER}]*+"
@@ -58,8 +59,11 @@ _RARE = (rf"[{IDEOGRAPH}][{EXTENDER}]*+"
          rf"|{_EMOJI}(?:\u200D{_EMOJI})*+[{EXTENDER}]*+"
          rf"|[{FLAG_LETTER}]{{2}}[{EXTENDER}]*+")
 # Possessive repeats: nothing to backtrack into, and no stack growth on very long words.
-WORD = (rf"(?:[a-z0-9]++|{_START}|{CONNECTOR}++{_START}){_RUN}{_TAIL}"
-        rf"|(?=[^\x00-\x7F])(?:{_RARE})|{CONNECTOR}++{_KATAKANA}{_TAIL}|[#*]{KEYCAP}")
+# Nor can other characters begin a word, or any follow plain letters before a blank: none of the classes is tested there.
+_BEGIN = r"(?=[A-Za-z0-9_#*]|[^\x00-\x7F])"
+_END = r"(?=[.,;:]?+[ \n]|[!?()])"
+WORD = (rf"{_BEGIN}(?:[{_PLAIN}]++(?:{_END}|{_RUN}{_TAIL})|(?:{_START}|{CONNECTOR}++{_START}){_RUN}{_TAIL}"
+        rf"|(?=[^\x00-\x7F])(?:{_RARE})|{CONNECTOR}++{_KATAKANA}{_TAIL}|[#*]{KEYCAP})")
 _PIECE = rf"(?s).{{1,{MAX_WORD}}}"
 
 
