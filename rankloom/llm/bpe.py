@@ -56,6 +56,8 @@ def byte_alphabet() -> list[str]:
 class Vocabulary:
     """What a tokenizer file says; built on the driver, sent to the workers."""
 
+    encoder: Encoder | None = None  # of this worker
+
     def __init__(self, content: str):
         spec = json.loads(content)
         model = spec["model"]
@@ -186,7 +188,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text",
 
     def start():
         v = shared.value
-        encoder = Encoder(v)
+        # the words of earlier tasks of the same worker are remembered with the vocabulary
+        v.encoder = encoder = v.encoder or Encoder(v)
 
         def step(piece):
             rows = [encoder.encode(t) for t in column_text(piece, text)]

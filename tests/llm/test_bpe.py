@@ -4,6 +4,7 @@ import hashlib
 import random
 import sys
 
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -63,3 +64,26 @@ def test_edge_cases(spark):
     again = bpe.decode_tokens(bpe.encode_documents(docs, PATH), PATH).collect()
     assert [r.decoded for r in again] == [r.decoded for r in rows]
     assert bpe.encode_documents(docs.limit(0), PATH).collect() == []
+
+
+def test_a_worker_keeps_its_words(spark):
+    """Tasks that share a worker's vocabulary share the words that it remembers."""
+    class Kept:
+        value = bpe.read_vocabulary(PATH)
+
+    taken = []
+
+    def with_columns(docs, text, fields, start, limit):
+        taken.append(start)
+        return docs
+
+    before, shared = bpe.with_columns, bpe._shared
+    bpe.with_columns, bpe._shared = with_columns, lambda *_: Kept
+    try:
+        bpe.encode_documents(spark.range(1), "unused")
+    finally:
+        bpe.with_columns, bpe._shared = before, shared
+    piece = pa.RecordBatch.from_pydict({"text": ["words that stay"]})
+    first = taken[0]()(piece)
+    kept = Kept.value.encoder
+    assert kept.known and taken[0]()(piece)[0].equals(first[0]) and Kept.value.encoder is kept
