@@ -62,3 +62,14 @@ def test_bad_models(kind, param):
     from rankloom import Model
     with pytest.raises(ValueError):
         Model(kind, param)
+
+
+def test_words_before_blanks_and_signs(spark):
+    """Plain letters end where no class could go on: the same words as by the full classes."""
+    from rankloom.functions import text as module
+    assert module._END in module.WORD and module._BEGIN in module.WORD
+    cases = {"a. b, c; d: e": ["a", "b", "c", "d", "e"], "a.b 1,2 a.1 für über.": ["a.b", "1,2", "a", "1", "für", "über"],
+             "á b‍ c!d (e) fカ 1️⃣ 2": ["á", "b‍", "c", "d", "e", "f", "カ", "1️⃣", "2"],
+             "a.\nb a., b a÷b a×b": ["a", "b", "a", "b", "a", "b", "a", "b"]}
+    got = {r.text: r.words for r in spark.createDataFrame([(t,) for t in cases], "text string").select("text", tokens("text").alias("words")).collect()}
+    assert got == cases
