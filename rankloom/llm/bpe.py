@@ -27,8 +27,10 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 
 from rankloom.llm.common import column_text, with_columns
 
-# Words that a Python worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 300_000
+# Words that a generation of a Python worker's memory holds; a longer word counts once more for every so many
+# characters. When a generation is full it becomes the older one, and the older one is forgotten.
+REMEMBERED = 400_000
+WEIGHED = 32
 # A vocabulary is sent to every executor; a larger file is refused.
 VOCABULARY_BYTES = 64 << 20
 # Text per step: ids and decoded strings of a slice are in memory together.
@@ -39,9 +41,9 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 # Letters and numbers that Python's own character tables do not know yet. For words with one of them the
 # tables of the tokenizers library decide what is a letter and what its lower case is.
-NEWER = regex.compile("[" + "".join(
+NEWER = frozenset(
     c for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)])))
-    if unicodedata.category(c) == "Cn") + "\uFFFF]")
+    if unicodedata.category(c) == "Cn")
 # Control characters that str.split() takes for white space and the pattern does not.
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
 
@@ -75,6 +77,7 @@ class Vocabulary:
         alphabet = byte_alphabet()
         self.inner = [ids.get(c) for c in alphabet]
         self.last = [ids.get(c + "</w>") for c in alphabet]
+        self.whole = None not in self.inner and None not in self.last
 
 
 def merged(symbols: list[int], merges: dict) -> list[int]:
@@ -110,31 +113,52 @@ def merged(symbols: list[int], merges: dict) -> list[int]:
 
 
 class Encoder:
-    """Encodes whole texts; remembers a bounded number of words."""
+    """Encodes whole texts; remembers a bounded number of words, and of stretches made of several words.
+
+    A word by itself is split as it was within its stretch, so that both are remembered alike.
+    """
 
     def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED):
-        self.v, self.remembered, self.known = vocabulary, remembered, {}
+        self.v, self.remembered = vocabulary, remembered
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.held = 0
         self.split = regex.compile(SPLIT)
         self.spaces = re.compile(f"[{SPACE}]+")
         self.special = (re.compile("|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))))
                         if vocabulary.special else None)
 
+    def word(self, word: str) -> tuple[int, ...]:
+        """The ids of one word, merged anew."""
+        data = word.encode("utf-8", "surrogatepass")
+        inner = self.v.inner
+        symbols = [inner[b] for b in data[:-1]]
+        symbols.append(self.v.last[data[-1]])
+        return tuple(merged(symbols if self.v.whole else [s for s in symbols if s is not None], self.v.merges))
+
+    def keep(self, chunk: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        weight = 1 + len(chunk) // WEIGHED
+        self.held += weight
+        if self.held > self.remembered:
+            self.older = self.known.copy()
+            self.known.clear()
+            self.held = weight
+        self.known[chunk] = ids
+        return ids
+
     def chunk(self, chunk: str) -> tuple[int, ...]:
         """The ids of a stretch without white space."""
-        ids: list[int] = []
-        if not chunk.isascii() and NEWER.search(chunk):
+        if ids := self.older.get(chunk):
+            return self.keep(chunk, ids)
+        if not chunk.isascii() and not NEWER.isdisjoint(chunk):
             lowered = normalizers.Lowercase().normalize_str(chunk)
             words = [w for w, _ in pre_tokenizers.Split(Regex(SPLIT), "removed", invert=True).pre_tokenize_str(lowered)]
-        else:
-            words = self.split.findall(chunk)
-        for word in words:
-            data = word.encode("utf-8", "surrogatepass")
-            symbols = [self.v.inner[b] for b in data[:-1]] + [self.v.last[data[-1]]]
-            ids += merged([s for s in symbols if s is not None], self.v.merges)
-        if len(self.known) >= self.remembered:
-            self.known.clear()
-        self.known[chunk] = out = tuple(ids)
-        return out
+            return self.keep(chunk, tuple(chain.from_iterable(map(self.word, words))))
+        words = self.split.findall(chunk)
+        if len(words) == 1:
+            return self.keep(chunk, self.word(words[0]))
+        return self.keep(chunk, tuple(chain.from_iterable(
+            [self.known.get(w) or self.older.get(w) or self.keep(w, self.word(w)) for w in words])))
 
     def plain(self, text: str) -> list[tuple[int, ...]]:
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()

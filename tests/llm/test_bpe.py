@@ -3,6 +3,7 @@
 import hashlib
 import random
 import sys
+import time
 
 import pyarrow as pa
 import pytest
@@ -87,3 +88,35 @@ def test_a_worker_keeps_its_words(spark):
     first = taken[0]()(piece)
     kept = Kept.value.encoder
     assert kept.known and taken[0]()(piece)[0].equals(first[0]) and Kept.value.encoder is kept
+
+
+def test_a_letter_beyond_ascii_costs_no_search():
+    """New words with an accent take about as long as others; the test for newer letters took five times as long."""
+    v, rng = bpe.read_vocabulary(PATH), random.Random(5)
+    plain = ["".join(rng.choices("abcdefghijklmnoprstuvw", k=10)) for _ in range(3000)]
+    accented = [w[:-1] + "é" for w in plain]
+
+    def seconds(words):
+        encoder, began = bpe.Encoder(v), time.process_time()
+        encoder.encode(" ".join(words))
+        return time.process_time() - began
+
+    assert min(seconds(accented) for _ in range(3)) < 3 * min(seconds(plain) for _ in range(3))
+
+
+def test_a_word_is_merged_once_in_all_its_stretches(library, monkeypatch):
+    merges, merged = [], bpe.merged
+    monkeypatch.setattr(bpe, "merged", lambda symbols, known: merges.append(1) or merged(symbols, known))
+    encoder, text = bpe.Encoder(bpe.read_vocabulary(PATH)), "stretches, (stretches) stretches. stretches"
+    assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(merges) == 5  # the word and four signs
+
+
+def test_memory_is_bounded_and_changes_nothing(library):
+    """Words go from generation to generation; long ones weigh more."""
+    encoder, rng = bpe.Encoder(bpe.read_vocabulary(PATH), remembered=20), random.Random(7)
+    for _ in range(300):
+        text = " ".join("".join(rng.choices("abé'.1", k=rng.choice([1, 2, 3, 400]))) for _ in range(8))
+        assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids
+        for memory in (encoder.known, encoder.older):
+            assert len(memory) == 1 or sum(1 + len(w) // bpe.WEIGHED for w in memory) <= 20
