@@ -29,7 +29,7 @@ from rankloom.llm.common import column_text, with_columns
 
 # Words that a generation of a Python worker's memory holds; a longer word counts once more for every so many
 # characters. When a generation is full it becomes the older one, and the older one is forgotten.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 WEIGHED = 32
 # A vocabulary is sent to every executor; a larger file is refused.
 VOCABULARY_BYTES = 64 << 20
