@@ -9,7 +9,7 @@ an empty one in every stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom import cluster
@@ -19,8 +19,14 @@ from rankloom.llm.queries import table, vocabulary_path
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """Id and text for an operator, and the whole row beside them."""
-    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    """Id and text for an operator, and the rest of the row beside them; a text goes to the workers once."""
+    return docs.select("doc_id", "text", F.struct(*(c for c in docs.columns if c != "text")).alias("row"))
+
+
+def _unpacked(packed: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again, some of them ``changed``."""
+    same = {c: F.col("text") if c == "text" else F.col("row").getField(c) for c in docs.columns}
+    return packed.select(*(column.alias(c) for c, column in (same | changed).items()))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +37,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     held_out = fold_of(F.col("doc_id"), 5) == 0
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), ~held_out)
-    return toxicity.score(_packed(docs), model).filter("predicted = 0").select("row.*")
+    return _unpacked(toxicity.score(_packed(docs), model).filter("predicted = 0"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +55,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     A null text has none and stays; ids play no part; an empty benchmark takes nothing away.
     """
-    return decontaminate.remove_contaminated(_packed(docs), table(spark, sf_dir, "benchmark")).select("row.*")
+    return _unpacked(decontaminate.remove_contaminated(_packed(docs), table(spark, sf_dir, "benchmark")), docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,10 +65,11 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     repeated rows are masked alike.
     """
     found = pii.find(_packed(docs), pii.train(docs))
-    done = found.select("row", "spans", pii.masked(F.col("text"), F.col("spans")).alias("masked"))
-    changed = F.col("row").withField("text", F.col("masked")).withField(
-        "n_chars", F.char_length("masked").cast(docs.schema["n_chars"].dataType))
-    return done.select(F.when(F.size("spans") == 0, F.col("row")).otherwise(changed).alias("row")).select("row.*")
+    done = found.select("row", "text", "spans", pii.masked(F.col("text"), F.col("spans")).alias("masked"))
+    none = F.size("spans") == 0
+    n_chars = F.char_length("masked").cast(docs.schema["n_chars"].dataType)
+    return _unpacked(done, docs, text=F.when(none, F.col("text")).otherwise(F.col("masked")),
+                     n_chars=F.when(none, F.col("row.n_chars")).otherwise(n_chars))
 
 
 def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

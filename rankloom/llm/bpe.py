@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-from rankloom.llm.common import column_text, with_columns
+from rankloom.llm.common import column_text, released, with_columns
 
 # Words that a generation of a Python worker's memory holds; a longer word counts once more for every so many
 # characters. When a generation is full it becomes the older one, and the older one is forgotten.
@@ -243,7 +243,7 @@ def decode_tokens(encoded: DataFrame, vocabulary: str, ids: str = "token_ids") -
                 yield pa.RecordBatch.from_arrays([*piece.columns, texts],
                                                  names=[*piece.schema.names, "decoded"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 def _lists(rows: list[list[int]]) -> pa.Array:

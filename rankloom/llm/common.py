@@ -60,6 +60,23 @@ def column_text(batch: pa.RecordBatch, name: str) -> list[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, with the memory that Arrow's pool does not need any more given back after every batch.
+
+    A Python worker lives on from task to task, and its pool keeps what was freed: for the operator that
+    comes next, the largest batches of all earlier ones would count besides its own.
+    """
+    def giving_back(batches):
+        pool = pa.default_memory_pool()
+        for out in run(batches):
+            yield out
+            del out
+            pool.release_unused()
+        pool.release_unused()
+
+    return giving_back
+
+
 def with_columns(docs: DataFrame, text: str, fields: T.StructType,
                  start: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
                  limit: int = SLICE_BYTES) -> DataFrame:
@@ -86,7 +103,7 @@ def with_columns(docs: DataFrame, text: str, fields: T.StructType,
                 yield pa.RecordBatch.from_arrays(
                     [*piece.columns, *arrays], names=[*piece.schema.names, *(n for n, _ in arrow)])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 def _arrow_type(kind: T.DataType) -> pa.DataType:

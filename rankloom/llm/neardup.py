@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom import cluster
-from rankloom.llm.common import column_bytes, ship, slices
+from rankloom.llm.common import column_bytes, released, ship, slices
 from rankloom.llm.graph import components
 from rankloom.llm.lm import mix, pack, unpack
 
@@ -184,7 +184,7 @@ def _ends(rows):
 
 def forest_candidates(classes: DataFrame) -> DataFrame:
     """``(a, b, prefixes)`` of ``classes(node, signature)``; summed over the orders."""
-    rows = classes.select("node", "signature").mapInArrow(_orders, "tree int, label binary, node bigint")
+    rows = classes.select("node", "signature").mapInArrow(released(_orders), "tree int, label binary, node bigint")
     spark = classes.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = min(MOST_PARTS, max(least, classes.count() * ORDERS // SORTED_ROWS))
@@ -192,7 +192,7 @@ def forest_candidates(classes: DataFrame) -> DataFrame:
     met = []
     while True:
         ranges = rows.coalesce(1) if parts == 1 else rows.repartitionByRange(parts, *order)
-        found = cluster.materialise(ranges.sortWithinPartitions(*order).mapInArrow(_neighbours(parts > 1), NEIGHBOUR))
+        found = cluster.materialise(ranges.sortWithinPartitions(*order).mapInArrow(released(_neighbours(parts > 1)), NEIGHBOUR))
         met.append(found.filter("a IS NOT NULL"))
         if parts == 1:
             break
@@ -229,7 +229,7 @@ def sent_sets(docs: DataFrame, needs: DataFrame, size: int, fields: dict[str, pa
     small = (entries[0] * cluster.ROW_BYTES + (entries[1] or 0) * 24) <= cluster.BROADCAST_BYTES
     schema = ", ".join(f"{f} {needs.schema[f].dataType.simpleString()}" for f in fields)
     return docs.join(F.broadcast(wanted) if small else wanted, F.col("doc_id") == F.col("node")).select(
-        "doc_id", "text", "targets").mapInArrow(_sets_for(size, fields), f"{schema}, node bigint, n bigint, items binary")
+        "doc_id", "text", "targets").mapInArrow(released(_sets_for(size, fields)), f"{schema}, node bigint, n bigint, items binary")
 
 
 def _confirm(threshold: int):
@@ -335,7 +335,7 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ship(docs)
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     profiled = cluster.materialise(source.mapInArrow(
-        _profile("text", size), "doc_id bigint, n_shingles bigint, key1 bigint, key2 bigint, signature binary"))
+        released(_profile("text", size)), "doc_id bigint, n_shingles bigint, key1 bigint, key2 bigint, signature binary"))
     key = ["n_shingles", "key1", "key2"]
     filled = profiled.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cluster.materialise(filled.groupBy(*key).agg(F.min("doc_id").alias("class_id")))

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankloom import cluster
-from rankloom.llm.common import column_text, ship, slices, with_columns
+from rankloom.llm.common import column_text, released, ship, slices, with_columns
 
 SAMPLE = 10_000
 # Beginnings of words from this to that length may enter the lexicon.
@@ -54,7 +54,8 @@ LEAST_BELIEF = 0.05
 PRIOR = 0.5
 # How strongly the regression's slopes are drawn towards 0.
 SHRINKAGE = 3.0
-HELD_TERMS = 400_000
+# Terms of whose votes a task holds the sums, until it hands them on as they are.
+HELD_TERMS = 150_000
 
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = str.maketrans({
@@ -105,6 +106,7 @@ def _phrases(words: list[str], of: set[str]) -> set[str]:
 
 def _count_terms(terms_of):
     """Votes of toxic and of clean documents for each of a text's terms."""
+    @released
     def run(batches):
         held: dict[str, list[float]] = {}
 
@@ -236,7 +238,7 @@ def _believed(counted: DataFrame, counts: Counts) -> dict[str, tuple[float, floa
             yield batch.filter(pa.array([known[p] >= LEAST_BELIEF for p in pairs], pa.bool_()))
 
     summed = counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    return {r.term: (r.toxic, r.clean) for r in summed.filter("toxic > 0").mapInArrow(run, "term string, toxic double, clean double").collect()}
+    return {r.term: (r.toxic, r.clean) for r in summed.filter("toxic > 0").mapInArrow(released(run), "term string, toxic double, clean double").collect()}
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, text: str = "text",
@@ -259,7 +261,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, text
     # at most 2 x sample rows of two numbers
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         F.broadcast(low[0].unionByName(low[1])), "doc_id").select("text", "label")
-    sketched = cluster.materialise(chosen.mapInArrow(_sketches, "text string, label int, sketch bigint"))
+    sketched = cluster.materialise(chosen.mapInArrow(released(_sketches), "text string, label int, sketch bigint"))
     copies = sketched.groupBy("sketch", "label").agg((1 / F.count("*")).alias("vote"))
     drawn = sketched.join(copies, ["sketch", "label"]).select("text", "label", "vote")
     totals = {r.label: (r.votes, r.n) for r in drawn.groupBy("label").agg(F.sum("vote").alias("votes"), F.count("*").alias("n")).collect()}
@@ -294,7 +296,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, text
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(1), piece.column(2), pa.array(values, pa.list_(pa.float64()))], names=["label", "vote", "x"])
 
-    table = drawn.mapInArrow(measure, "label int, vote double, x array<double>").collect()
+    table = drawn.mapInArrow(released(measure), "label int, vote double, x array<double>").collect()
     y = np.array([r.label for r in table], float)
     share = np.array([sizes[0] / max(n_clean, 1), sizes[1] / max(n_toxic, 1)])
     model.coefficients = _fit(np.array([r.x for r in table]), y, share[y.astype(int)] * np.array([r.vote for r in table]))
